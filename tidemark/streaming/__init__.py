@@ -1,0 +1 @@
+"""Intentionally empty: every input of this library is a finished table, so there is no streaming operator."""
