@@ -125,50 +125,64 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """news_data: whole documents, first line as headline, the rest as summary, dated by the order of the same key."""
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents: the first line is the headline, the rest the summary."""
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.substring_index(text, "\n", 1).alias("headline"),
+        F.when(text.contains("\n"), F.substring(text, F.locate("\n", text) + 1, F.length(text))).alias("summary"),
+        F.concat(F.lit("desk-"), F.col("lang")).alias("author"),
+        "n_chars",
+        F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string")).alias("url"),
+        "source",
+    )
+
+
+def _dated(articles: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date articles by the order of the same key; its suppliers are the symbols mentioned."""
     mentioned = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"))
-        .groupBy("l_orderkey")
+        .groupBy(F.col("l_orderkey").alias("id"))
         .agg(F.array_join(F.array_sort(F.collect_set("symbol")), ",").alias("symbols"))
     )
-    text = F.col("text")
+    dates = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate")
     return (
-        table(spark, sf_dir, "documents")
-        .join(table(spark, sf_dir, "orders"), F.col("doc_id") == F.col("o_orderkey"))
-        .join(mentioned, F.col("doc_id") == F.col("l_orderkey"), "left")
-        .select(
-            F.col("doc_id").alias("id"),
-            F.substring_index(text, "\n", 1).alias("headline"),
-            F.when(
-                text.contains("\n"), F.substring(text, F.locate("\n", text) + 1, F.length(text))
-            ).alias("summary"),
-            F.concat(F.lit("desk-"), F.col("lang")).alias("author"),
-            (F.col("o_orderdate") + F.make_dt_interval(secs=F.col("n_chars"))).alias("created_at"),
-            (F.col("o_orderdate") + F.make_dt_interval(secs=2 * F.col("n_chars"))).alias("updated_at"),
-            F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string")).alias("url"),
-            F.coalesce("symbols", F.lit("")).alias("symbols"),
-            "source",
+        articles.join(dates, "id")
+        .join(mentioned, "id", "left")
+        .withColumns(
+            {
+                "created_at": F.col("o_orderdate") + F.make_dt_interval(secs=F.col("n_chars")),
+                "updated_at": F.col("o_orderdate") + F.make_dt_interval(secs=2 * F.col("n_chars")),
+                "symbols": F.coalesce("symbols", F.lit("")),
+            }
         )
     )
 
 
+def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """news_data."""
+    return _dated(_articles(spark, sf_dir), spark, sf_dir).select(
+        "id", "headline", "summary", "author", "created_at", "updated_at", "url", "symbols", "source"
+    )
+
+
 def _scored(spark: SparkSession, sf_dir: str, with_summary: bool, terms, confidence: str) -> DataFrame:
-    # Texts are scored once per article, then copied to the symbols.
-    articles = news(spark, sf_dir)
+    # Scored where the documents are read: once per article, before any text would have to be shuffled.
     text = article_text(F.col("headline"), F.col("summary") if with_summary else None)
-    return (
-        articles.withColumn("article_text", text)
+    judged = (
+        _articles(spark, sf_dir)
+        .withColumn("article_text", text)
         .withColumn("_score", lexicon_label(F.col("article_text"), *terms))
-        .select(
-            F.col("id").alias("news_article_id"),
-            F.explode(symbol_list(F.col("symbols"))).alias("symbol"),
-            F.to_date("created_at").alias("news_date"),
-            "article_text",
-            F.col("_score.label").alias("sentiment"),
-            F.col("_score.confidence").alias(confidence),
-        )
+    )
+    return _dated(judged, spark, sf_dir).select(
+        F.col("id").alias("news_article_id"),
+        F.explode(symbol_list(F.col("symbols"))).alias("symbol"),
+        F.to_date("created_at").alias("news_date"),
+        "article_text",
+        F.col("_score.label").alias("sentiment"),
+        F.col("_score.confidence").alias(confidence),
     )
 
 

@@ -176,12 +176,18 @@ def lexicon_label(
     p = sum((occurrences(text, term) for term in positive), F.lit(0).cast("long"))
     q = sum((occurrences(text, term) for term in negative), F.lit(0).cast("long"))
     scale = round((1 + margin) * 100)
-    label = F.when(p * 100 > q * scale, "positive").when(q * 100 > p * scale, "negative").otherwise("neutral")
-    confidence = F.lit(0.5) + F.abs(p - q).cast("double") / (2 * (p + q + 1)).cast("double")
-    return F.struct(
-        F.when(text.isNull(), F.lit(failed[0])).otherwise(label).alias("label"),
-        F.when(text.isNull(), F.lit(failed[1])).otherwise(confidence).alias("confidence"),
-    )
+
+    def judge(counts: Column) -> Column:
+        p, q = counts["p"], counts["q"]
+        label = F.when(p * 100 > q * scale, "positive").when(q * 100 > p * scale, "negative").otherwise("neutral")
+        confidence = F.lit(0.5) + F.abs(p - q).cast("double") / (2 * (p + q + 1)).cast("double")
+        return F.struct(
+            F.when(text.isNull(), F.lit(failed[0])).otherwise(label).alias("label"),
+            F.when(text.isNull(), F.lit(failed[1])).otherwise(confidence).alias("confidence"),
+        )
+
+    # The one-element array binds the counts, so a long text is searched once per term.
+    return F.get(F.transform(F.array(F.struct(p.alias("p"), q.alias("q"))), judge), F.lit(0))
 
 
 def parse_number(text: Column) -> Column:

@@ -59,7 +59,7 @@ def statement_releases(statement: DataFrame, earnings: DataFrame, how: str = "le
         right_on="release_date",
         direction="forward",
         allow_exact=False,
-        ties=s.EARNINGS_FEATURES,
+        right_unique=True,
         how=how,
     )
 
