@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features"]
+MODULES = ["features", "news", "indicators"]
 
 
 def load():

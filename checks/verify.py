@@ -84,7 +84,7 @@ def main() -> int:
         try:
             verdict, rows = compare(spark, connection, sf_dir, name)
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
-            verdict, rows = f"error: {str(error)[:1500]}", -1
+            verdict, rows = f"error: {str(error)[:500]}", -1
         failures += verdict not in ("ok", "rows only")
         print(f"{name:34s} {rows:8d} rows {time.time() - start:6.1f}s  {verdict}", flush=True)
     print(f"{failures} failures")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.market import map_values
+
 # --- fixed values: prompts, reply markers, labels and confidences ---------------------------------------------
 
 SENTIMENT_PROMPT = (
@@ -125,6 +127,11 @@ def reply_label(
     return F.struct(name.otherwise(default[0]).alias("label"), score.otherwise(default[1]).alias("confidence"))
 
 
+def market_direction(sentiment: Column) -> Column:
+    """Sentiment label as a direction."""
+    return map_values(sentiment, SENTIMENT_TO_DIRECTION)
+
+
 def chat_answer(reply: Column, end: str = CHAT_END) -> Column:
     """Reply without the echoed instruction."""
     return F.regexp_replace(reply, f"(?s){end}", "")
