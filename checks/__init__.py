@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "news", "indicators"]
+MODULES = ["features", "news", "indicators", "evaluation"]
 
 
 def load():

@@ -65,12 +65,12 @@ _EMA |= {"macd": "(e12 - e26) / close", "macd_signal": "signal / close", "macd_h
 
 
 def _rolling_query(features: list[str]) -> str:
-    columns = ", ".join(rounded_sql(_ROLLING[f], f) for f in features)
+    columns = ", ".join(rounded_sql(_ROLLING[f], f, 6) for f in features)
     return with_views("bars", f"SELECT symbol, bar_date, {columns} FROM moved", _NUMBERED)
 
 
 def _recursive_query(features: list[str]) -> str:
-    columns = ", ".join(rounded_sql(_EMA[f], f) for f in features)
+    columns = ", ".join(rounded_sql(_EMA[f], f, 6) for f in features)
     return with_views(
         "bars",
         f"SELECT symbol, bar_date, {columns} FROM numbered JOIN ema USING (symbol, i)",
@@ -99,7 +99,7 @@ def _register(name: str, features: list[str]) -> None:
     @check(name, sql)
     def query(spark, sf_dir):
         made = ind.indicators(t.bars(spark, sf_dir), features=features)
-        return rounded(made.select(*KEYS, *features), features)
+        return rounded(made.select(*KEYS, *features), features, 6)
 
 
 for _name, _features in _GROUPS.items():
@@ -114,7 +114,7 @@ _ALL = {**{f: _ROLLING[f] for f in _ROLLING}, **_EMA}
     with_views(
         "bars",
         "SELECT symbol, bar_date, open, high, low, close, volume, trade_count, vwap, "
-        + ", ".join(rounded_sql(f, f) for f in s.INDICATOR_FEATURES)
+        + ", ".join(rounded_sql(f, f, 6) for f in s.INDICATOR_FEATURES)
         + " FROM made WHERE i > 50 AND "
         + " AND ".join(f"{f} IS NOT NULL" for f in s.INDICATOR_FEATURES),
         f"{_NUMBERED},\n{_RECURSION},\nmade AS (SELECT moved.*, "
@@ -124,7 +124,7 @@ _ALL = {**{f: _ROLLING[f] for f in _ROLLING}, **_EMA}
     ),
 )
 def indicator_table(spark, sf_dir):
-    return rounded(ind.indicator_table(t.bars(spark, sf_dir)), s.INDICATOR_FEATURES)
+    return rounded(ind.indicator_table(t.bars(spark, sf_dir)), s.INDICATOR_FEATURES, 6)
 
 
 @check(

@@ -24,11 +24,11 @@ def news_symbol_explode(spark, sf_dir):
     with_views(
         "exploded",
         """SELECT id, symbol, headline, CAST(created_at AS DATE) AS news_date FROM exploded
-           WHERE symbol = 'S3' AND CAST(created_at AS DATE) = DATE '1998-02-07'""",
+           WHERE symbol = 'S3' AND CAST(created_at AS DATE) = DATE '1995-08-13'""",
     ),
 )
 def news_symbol_day_filter(spark, sf_dir):
-    found = n.symbol_day_articles(t.news(spark, sf_dir), "S3", "1998-02-07")
+    found = n.symbol_day_articles(t.news(spark, sf_dir), "S3", "1995-08-13")
     return found.select("id", "symbol", "headline", F.to_date("created_at").alias("news_date"))
 
 
