@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "news", "indicators", "evaluation"]
+MODULES = ["features", "news", "indicators", "evaluation", "modeling"]
 
 
 def load():

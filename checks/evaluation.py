@@ -382,10 +382,10 @@ def directional_loss(spark, sf_dir):
     "residual_histogram",
     with_views(
         "preds",
-        f"""SELECT CAST(least(CAST(floor((x - lo) / (hi - lo) * 50) AS INT), 49) AS INT) AS bin, count(*) AS n,
-              {rounded_sql("min(lo) + (min(hi) - min(lo)) * least(CAST(floor((x - lo) / (hi - lo) * 50) AS INT), 49) / 50", "bin_start")}
-            FROM residuals, (SELECT min(x) AS lo, max(x) AS hi FROM residuals) r
-            GROUP BY least(CAST(floor((x - lo) / (hi - lo) * 50) AS INT), 49)""",
+        f"""SELECT CAST(b.bin AS INT) AS bin, count(x) AS n, {rounded_sql("lo + (hi - lo) * b.bin / 50", "bin_start")}
+            FROM range(50) b(bin) JOIN (SELECT min(x) AS lo, max(x) AS hi FROM residuals) r ON true
+            LEFT JOIN residuals ON b.bin = least(CAST(floor((x - lo) / (hi - lo) * 50) AS INT), 49)
+            GROUP BY b.bin, lo, hi""",
         f"residuals AS (SELECT {_ERROR} AS x FROM preds)",
     ),
 )

@@ -212,15 +212,23 @@ def directional_loss(df: DataFrame, actual: str, predicted: str, weight: float =
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
-    """Rows per equal-width bin (0-based, the last bin includes the maximum), with the bin's lower edge."""
-    ranged = with_range(df, value)
-    low = F.when(F.col("_low") == F.col("_high"), F.col("_low") - 0.5).otherwise(F.col("_low"))
-    high = F.when(F.col("_low") == F.col("_high"), F.col("_high") + 0.5).otherwise(F.col("_high"))
-    index = F.least(F.floor((F.col(value) - low) / (high - low) * bins).cast("int"), F.lit(bins - 1))
-    placed = ranged.filter(F.col(value).isNotNull()).select(index.alias("bin"), low.alias("_l"), high.alias("_h"))
-    return placed.groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.min("_l") + (F.min("_h") - F.min("_l")) * F.col("bin") / bins).alias("bin_start"),
+    """Rows per equal-width bin with its lower edge; all ``bins`` bins, the last one includes the maximum."""
+    known = df.filter(F.col(value).isNotNull())
+    ends = known.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+
+    def edges(frame: DataFrame) -> DataFrame:
+        pad = F.when(F.col("_ends.low") == F.col("_ends.high"), 0.5).otherwise(0.0)
+        return frame.withColumn("_ends", ends).withColumns(
+            {"_low": F.col("_ends.low") - pad, "_width": F.col("_ends.high") - F.col("_ends.low") + 2 * pad}
+        )
+
+    index = F.least(F.floor((F.col(value) - F.col("_low")) / F.col("_width") * bins).cast("int"), F.lit(bins - 1))
+    counts = edges(known.select(value)).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
+    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return edges(spine.join(counts, "bin", "left")).select(
+        "bin",
+        F.coalesce("_n", F.lit(0)).alias("n"),
+        (F.col("_low") + F.col("_width") * F.col("bin") / bins).alias("bin_start"),
     )
 
 
