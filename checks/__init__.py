@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "news", "indicators", "evaluation", "modeling"]
+MODULES = ["features", "news", "indicators", "evaluation", "modeling", "ingest"]
 
 
 def load():
