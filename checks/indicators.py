@@ -10,7 +10,7 @@ from checks.views import CUTOFF, with_views
 from tidemark import schemas as s
 from tidemark.operators import indicators as ind
 from tidemark.operators import sequences as seq
-from tidemark.operators.series import number_rows
+from tidemark.operators.series import number_rows, shift, with_frames
 
 KEYS = ["symbol", "bar_date"]
 _W = "PARTITION BY symbol ORDER BY bar_date"
@@ -98,7 +98,7 @@ def _register(name: str, features: list[str]) -> None:
 
     @check(name, sql)
     def query(spark, sf_dir):
-        made = ind.indicators(t.bars(spark, sf_dir), features=features)
+        made = ind.indicators(t.stored_bars(spark, sf_dir), features=features)
         return rounded(made.select(*KEYS, *features), features, 6)
 
 
@@ -124,7 +124,7 @@ _ALL = {**{f: _ROLLING[f] for f in _ROLLING}, **_EMA}
     ),
 )
 def indicator_table(spark, sf_dir):
-    return rounded(ind.indicator_table(t.bars(spark, sf_dir)), s.INDICATOR_FEATURES, 6)
+    return rounded(ind.indicator_table(t.stored_bars(spark, sf_dir)), s.INDICATOR_FEATURES, 6)
 
 
 @check(
@@ -132,8 +132,6 @@ def indicator_table(spark, sf_dir):
     with_views("bars", f"SELECT symbol, bar_date, close - lag(close) OVER ({_W}) AS change FROM bars"),
 )
 def first_difference(spark, sf_dir):
-    from tidemark.operators.series import shift, with_frames
-
     made = with_frames(
         t.bars(spark, sf_dir).select(*KEYS, "close"),
         ["symbol"],
@@ -173,7 +171,7 @@ _SEQUENCE_FEATURES = ["open", "close", "volume", "vwap"]
     ),
 )
 def sequence_dataset(spark, sf_dir):
-    return seq.sequences(t.bars(spark, sf_dir), _SEQUENCE_FEATURES)
+    return seq.sequences(t.stored_bars(spark, sf_dir), _SEQUENCE_FEATURES)
 
 
 @check(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from checks import standin as t
@@ -9,6 +10,8 @@ from checks.features import FEATURE_CTES, FEATURE_VIEWS, features
 from checks.registry import check, rounded, rounded_sql
 from checks.views import CUTOFF, TERMS_B, with_views
 from tidemark import schemas as s
+from tidemark.functions.market import price_class
+from tidemark.functions import text as tx
 from tidemark.operators import diagnosis as d
 from tidemark.operators import evaluation as e
 from tidemark.operators import indicators as ind
@@ -16,7 +19,7 @@ from tidemark.operators import modeling as m
 from tidemark.operators import scoring, splits
 from tidemark.operators import sequences as seq
 from tidemark.operators.news import article_next_bar
-from tidemark.functions.market import price_class
+from tidemark.session import stage_table
 
 
 def _on_features(query: str) -> str:
@@ -112,7 +115,7 @@ def _scaled(c: str) -> str:
     _on_features(f"SELECT symbol, prediction_date, split, {', '.join(_scaled(c) for c in _SCALED)} FROM features"),
 )
 def minmax_fit_apply(spark, sf_dir):
-    table = features(spark, sf_dir)
+    table = stage_table(features(spark, sf_dir), "features")
     ranges = m.fit_minmax(table.filter(F.col("split") == "train"), _SCALED)
     return rounded(m.apply_minmax(table, ranges).select(*s.KEY_COLUMNS, "split", *_SCALED), _SCALED)
 
@@ -345,7 +348,7 @@ _ATTRIBUTED = f"attributed AS (SELECT symbol, bar_date, open, close, {_SHAP} FRO
 
 
 def _attributed(spark, sf_dir):
-    bars = t.bars(spark, sf_dir)
+    bars = t.stored_bars(spark, sf_dir)
     means = m.feature_means(bars, list(_COEFFICIENTS))
     return m.linear_attributions(bars, _COEFFICIENTS, means)
 
@@ -459,13 +462,44 @@ def scored_articles_pluggable(spark, sf_dir):
     return made.drop("article_text")
 
 
+def _answer_model():
+    """Stands for a generative model: answers from the letters of the article inside the prompt."""
+
+    def reply(prompts):
+        article = prompts.str.extract(r"(?s)Input: (.*)\nAnswer: $")[0]
+        p, q = article.str.count("a"), article.str.count("o")
+        answer = pd.Series("neutral", index=prompts.index)
+        answer[p * 100 > q * 105] = "Positive."
+        answer[q * 100 > p * 105] = " negative\n"
+        return prompts + answer
+
+    return reply
+
+
+@check(
+    "prompted_articles",
+    with_views(
+        "scored",
+        """SELECT news_article_id, symbol, sentiment, CASE sentiment WHEN 'neutral' THEN 0.7e0 ELSE 0.85e0 END AS confidence
+           FROM scored""",
+    ),
+)
+def prompted_articles(spark, sf_dir):
+    """Prompt, pluggable batch model, reply parsed by native expressions."""
+    articles = t.scored(spark, sf_dir).select("news_article_id", "symbol", "article_text")
+    prompt = tx.render_prompt(tx.SENTIMENT_PROMPT, article_text=F.col("article_text"))
+    replied = articles.withColumn("reply", scoring.reply_column(prompt, _answer_model))
+    made = scoring.score_articles(replied, tx.reply_label(F.col("reply")))
+    return made.drop("article_text", "reply")
+
+
 # --- fitted models: no SQL twin -------------------------------------------------------------------------------
 
 _MODEL_FEATURES = [*s.FINANCIAL_FEATURES, *s.MACRO_FEATURES, *s.SENTIMENT_FEATURES]
 
 
 def _training(spark, sf_dir):
-    table = features(spark, sf_dir)
+    table = stage_table(features(spark, sf_dir), "features")
     ranges = m.fit_minmax(table.filter(F.col("split") == "train"), _MODEL_FEATURES)
     known = m.apply_minmax(table, ranges).filter(F.col(s.TARGET).isNotNull())
     return m.training_table(known, _MODEL_FEATURES, [*s.KEY_COLUMNS, s.TARGET, s.SPLIT])
@@ -492,7 +526,7 @@ _ABLATED = ["open", "volume", "vwap", "trade_count"]
 
 @check("ablation_attribution")
 def ablation_attribution(spark, sf_dir):
-    bars = t.bars(spark, sf_dir)
+    bars = t.stored_bars(spark, sf_dir)
     table = m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"])
     model = m.boosted_trees("close", trees=3, depth=3).fit(table)
     return m.ablation_attributions(model, bars, ["symbol", "bar_date"], _ABLATED, m.feature_means(bars, _ABLATED))
@@ -500,7 +534,7 @@ def ablation_attribution(spark, sf_dir):
 
 @check("fitted_linear_attribution")
 def fitted_linear_attribution(spark, sf_dir):
-    bars = t.bars(spark, sf_dir)
+    bars = t.stored_bars(spark, sf_dir)
     fitted = m.fit_linear(m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"]), "close")
     coefficients = dict(zip(_ABLATED, [float(b) for b in fitted.coefficients]))
     return m.linear_attributions(bars, coefficients, m.feature_means(bars, _ABLATED))
@@ -509,7 +543,7 @@ def fitted_linear_attribution(spark, sf_dir):
 @check("sequence_forecast")
 def sequence_forecast(spark, sf_dir):
     columns = ["sma_5", "rsi_14", "roc_5", "close_zscore"]
-    made = ind.drop_incomplete(ind.indicators(t.bars(spark, sf_dir), features=columns, warmup=s.WARMUP_ROWS))
+    made = ind.drop_incomplete(ind.indicators(t.stored_bars(spark, sf_dir), features=columns, warmup=s.WARMUP_ROWS))
     scaled = seq.minmax_by_key(made, ["symbol"], columns)
     sequences = seq.sequences(scaled, [f"{c}_scaled" for c in columns])
     labelled = seq.target_date_split(sequences, CUTOFF)

@@ -16,6 +16,7 @@ from tidemark.functions.market import daily_move, split_label, target_price
 from tidemark.functions.text import article_text, lexicon_label, symbol_list
 from tidemark.operators.news import bar_moves
 from tidemark.operators.sequences import forward_returns
+from tidemark.session import stage_table
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,6 +64,11 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as a stored table, for operators that read their input more than once."""
+    return stage_table(bars(spark, sf_dir), "bars")
+
+
 def earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     pc, dp, total = F.col("pc"), F.col("dp"), F.sum("pc").cast("double")
     surprise = F.sum(pc * (5 - dp)).cast("double") / (F.lit(0.95) * total)

@@ -173,29 +173,32 @@ def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     )
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """RMSE, MAE, R2 and MAPE (with 1e-8 added to the actual) per group; R2 is null below two rows.
+def metric_columns(actual: str, predicted: str) -> list[Column]:
+    """Aggregates n, rmse, mae, r2 and mape (with 1e-8 added to the actual); r2 is null below two rows.
 
-    The squared deviations of R2 come from the engine's variance, which merges partial results stably.
+    The squared deviations of r2 come from the engine's variance, which merges partial results stably.
     """
     y, p = F.col(actual), F.col(predicted)
     error = y - p
     spread = F.var_pop(y) * F.count(y)
     n = F.count(F.lit(1))
-    return df.groupBy(*by).agg(
+    return [
         n.alias("n"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
         F.when((n > 1) & (spread > 0), 1 - F.sum(error * error) / spread).alias("r2"),
         (F.avg(F.abs(error / (y + F.lit(1e-8)))) * 100).alias("mape"),
-    )
+    ]
+
+
+def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by).agg(*metric_columns(actual, predicted))
 
 
 def slice_metrics(df: DataFrame, actual: str, predicted: str, slice_column: str) -> DataFrame:
     """RMSE, R2 and mean prediction per slice with at least two rows."""
-    made = regression_metrics(df, actual, predicted, [slice_column]).filter(F.col("n") > 1)
-    means = df.groupBy(slice_column).agg(F.avg(predicted).alias("mean_pred"))
-    return made.join(means, slice_column).select(slice_column, "n", "rmse", "r2", "mean_pred")
+    made = df.groupBy(slice_column).agg(*metric_columns(actual, predicted), F.avg(predicted).alias("mean_pred"))
+    return made.filter(F.col("n") > 1).select(slice_column, "n", "rmse", "r2", "mean_pred")
 
 
 def magnitude_group(predicted: Column, threshold: float = 0.05) -> Column:

@@ -17,58 +17,89 @@ from tidemark.operators.series import BLOCK_DAYS, CHUNK_ROWS, POS, full_frame, l
 
 _EPS = s.EPSILON
 
+# Every rolling period is a multiple of one of these. A frame re-adds all its rows for each row, so only frames of
+# this size are evaluated; longer means and deviations are put together from several of them by ``lag``.
+_PIECE, _OSCILLATOR_PIECE = 5, 7
 
-def _mean(value: Column, rows: int, window: WindowSpec) -> Column:
-    return full_frame(value, rows, window, F.avg)
 
+def _pieces(window: WindowSpec) -> dict[str, Column]:
+    """Sums (and squared deviations from the piece's own mean) over the trailing 5 or 7 rows, null until full."""
+    close, change = F.col("close"), F.col("_change")
 
-def _deviation(value: Column, rows: int, window: WindowSpec) -> Column:
-    return full_frame(value, rows, window, F.stddev_samp)
+    def total(value: Column, rows: int) -> Column:
+        return full_frame(value, rows, window, F.sum)
 
+    return {
+        "_close": total(close, _PIECE),
+        "_square": full_frame(close, _PIECE, window, F.var_pop) * _PIECE,
+        "_volume": total(F.col("volume"), _PIECE),
+        "_gain": total(clip(change, lower=0.0), _OSCILLATOR_PIECE),
+        "_loss": total(-clip(change, upper=0.0), _OSCILLATOR_PIECE),
+        "_range": total(F.col("_spread"), _OSCILLATOR_PIECE),
+    }
 
-def sma_distance(close: Column, rows: int, window: WindowSpec) -> Column:
-    return _mean(close, rows, window) / close - 1
 
+def _parts(piece: str, rows: int, window: WindowSpec) -> list[Column]:
+    """The non-overlapping pieces that make up the trailing ``rows`` rows; null if the first one is not full."""
+    unit = _OSCILLATOR_PIECE if piece in ("_gain", "_loss", "_range") else _PIECE
+    if rows % unit:
+        raise ValueError(f"period {rows} is not a multiple of {unit}")
+    return [F.col(piece)] + [shift(piece, k, window) for k in range(unit, rows, unit)]
 
-def rsi(change: Column, rows: int, window: WindowSpec) -> Column:
-    """Relative strength from simple means of gains and losses; ``change`` is the first difference."""
-    gain = _mean(clip(change, lower=0.0), rows, window)
-    loss = _mean(-clip(change, upper=0.0), rows, window)
-    return 100 - 100 / (1 + gain / (loss + _EPS))
 
+def _mean(piece: str, rows: int, window: WindowSpec) -> Column:
+    return sum(_parts(piece, rows, window)[1:], F.col(piece)) / rows
 
-def bollinger(close: Column, rows: int, window: WindowSpec) -> tuple[Column, Column]:
+
+def _deviation(rows: int, window: WindowSpec) -> Column:
+    """Sample deviation of the close. Squared deviations inside the pieces plus those of the piece means: both are
+    sums of squares, so nothing cancels."""
+    mean = _mean("_close", rows, window)
+    between = [(part / _PIECE - mean) * (part / _PIECE - mean) for part in _parts("_close", rows, window)]
+    squares = sum(_parts("_square", rows, window)[1:], F.col("_square"))
+    return F.sqrt((squares + _PIECE * sum(between[1:], between[0])) / (rows - 1))
+
+
+def sma_distance(rows: int, window: WindowSpec) -> Column:
+    return _mean("_close", rows, window) / F.col("close") - 1
+
+
+def rsi(rows: int, window: WindowSpec) -> Column:
+    """Relative strength from simple means of gains and losses."""
+    return 100 - 100 / (1 + _mean("_gain", rows, window) / (_mean("_loss", rows, window) + _EPS))
+
+
+def bollinger(rows: int, window: WindowSpec) -> tuple[Column, Column]:
     """(position, width) of the band of two sample deviations."""
-    deviation = _deviation(close, rows, window)
-    return (close - _mean(close, rows, window)) / (2 * deviation + _EPS), 4 * deviation / close
+    close, deviation = F.col("close"), _deviation(rows, window)
+    return (close - _mean("_close", rows, window)) / (2 * deviation + _EPS), 4 * deviation / close
 
 
-def volume_ratio(volume: Column, rows: int, window: WindowSpec) -> Column:
-    return _mean(volume, rows, window) / (volume + _EPS) - 1
+def volume_ratio(rows: int, window: WindowSpec) -> Column:
+    return _mean("_volume", rows, window) / (F.col("volume") + _EPS) - 1
 
 
-def rate_of_change(close: Column, rows: int, window: WindowSpec) -> Column:
-    return F.try_divide(close, shift(close, rows, window)) - 1
+def rate_of_change(rows: int, window: WindowSpec) -> Column:
+    return F.try_divide(F.col("close"), shift("close", rows, window)) - 1
 
 
-def zscore(close: Column, rows: int, window: WindowSpec) -> Column:
-    return (close - _mean(close, rows, window)) / (_deviation(close, rows, window) + _EPS)
+def zscore(rows: int, window: WindowSpec) -> Column:
+    return (F.col("close") - _mean("_close", rows, window)) / (_deviation(rows, window) + _EPS)
 
 
 def rolling_columns(window: WindowSpec) -> dict[str, Column]:
-    """Every indicator that needs only a bounded frame (the first difference must be in ``_change``)."""
-    close, volume = F.col("close"), F.col("volume")
+    """Every indicator that needs only a bounded look-back, from the piece columns."""
+    close = F.col("close")
     columns = dict(candle_shape(F.col("open"), F.col("high"), F.col("low"), close))
-    spread = columns["price_range"]
-    columns |= {f"sma_{n}": sma_distance(close, n, window) for n in s.SMA_PERIODS}
-    columns |= {f"rsi_{n}": rsi(F.col("_change"), n, window) for n in s.RSI_PERIODS}
+    columns |= {f"sma_{n}": sma_distance(n, window) for n in s.SMA_PERIODS}
+    columns |= {f"rsi_{n}": rsi(n, window) for n in s.RSI_PERIODS}
     for n in s.BOLLINGER_PERIODS:
-        columns[f"bb_pos_{n}"], columns[f"bb_width_{n}"] = bollinger(close, n, window)
-    columns |= {f"atr_{n}": _mean(spread, n, window) for n in s.ATR_PERIODS}
-    columns |= {f"volume_sma_{n}": volume_ratio(volume, n, window) for n in s.VOLUME_PERIODS}
+        columns[f"bb_pos_{n}"], columns[f"bb_width_{n}"] = bollinger(n, window)
+    columns |= {f"atr_{n}": _mean("_range", n, window) for n in s.ATR_PERIODS}
+    columns |= {f"volume_sma_{n}": volume_ratio(n, window) for n in s.VOLUME_PERIODS}
     columns["vwap_diff"] = vwap_distance(F.col("vwap"), close)
-    columns |= {f"roc_{n}": rate_of_change(close, n, window) for n in s.ROC_PERIODS}
-    columns["close_zscore"] = zscore(close, s.ZSCORE_PERIOD, window)
+    columns |= {f"roc_{n}": rate_of_change(n, window) for n in s.ROC_PERIODS}
+    columns["close_zscore"] = zscore(s.ZSCORE_PERIOD, window)
     return columns
 
 
@@ -108,20 +139,21 @@ def indicators(
         carries = series.ema_carries(numbered, keys, "close", spans, size, signal)
         # Rows that only serve as look-back may sit in a chunk that has no state of its own.
         rows = rows.join(carries, [*keys, series.CHUNK], "left")
-    rows = rows.withColumn("_change", F.col("close") - shift("close", 1, window))
-
-    wanted = {name: column for name, column in rolling_columns(window).items() if name in features}
     close = F.col("close")
+    first = {"_change": close - shift("close", 1, window), "_spread": (F.col("high") - F.col("low")) / close}
     for span in spans:
-        wanted[f"_ema_{span}"] = local_ema(close, span, F.col(f"_carry_{span}"), window, size)
-    rows = rows.withColumns(wanted)
+        first[f"_ema_{span}"] = local_ema(close, span, F.col(f"_carry_{span}"), window, size)
+    rows = rows.withColumns(first)
+    # Further levels over the same partitioning and order: no further shuffle, and what no requested feature needs
+    # is pruned by the optimizer.
+    second = _pieces(window)
+    if with_macd:
+        # The line starts at zero, and so does its mean.
+        second["_line"] = F.col(f"_ema_{_FAST}") - F.col(f"_ema_{_SLOW}")
+        second["_signal"] = local_ema(second["_line"], _SIGNAL, F.col("_carry_signal"), window, size)
+    rows = rows.withColumns(second)
+    rows = rows.withColumns({name: column for name, column in rolling_columns(window).items() if name in features})
     if with_macd:
-        # Second level over the same partitioning and order: no further shuffle. The line starts at zero, and so
-        # does its mean.
-        rows = rows.withColumn("_line", F.col(f"_ema_{_FAST}") - F.col(f"_ema_{_SLOW}"))
-        rows = rows.withColumn(
-            "_signal", local_ema(F.col("_line"), _SIGNAL, F.col("_carry_signal"), window, size)
-        )
         rows = rows.withColumns(
             {
                 "macd": F.col("_line") / close,
