@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is used only in local mode, where driver and executors are one process.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
