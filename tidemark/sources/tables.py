@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas as s
 from tidemark.functions.text import clean_columns
+from tidemark.session import stage_table
 
 CORRUPT = "_corrupt_record"
 
@@ -53,7 +54,11 @@ def read_table(spark: SparkSession, name: str, path: str, view: str | None = Non
 def read_csv_quarantined(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows with their text). A bad row or file part does not stop the load."""
+    """(good rows, rejected rows with their text). A bad row or file part does not stop the load.
+
+    The parsed rows are staged once: a reader that needs only some columns would otherwise not parse the others, and
+    so not notice that they are broken.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     read = (
         spark.read.schema(wide)
@@ -65,7 +70,8 @@ def read_csv_quarantined(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    return read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), read.filter(F.col(CORRUPT).isNotNull())
+    parsed = stage_table(read, "parsed-csv")
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), parsed.filter(F.col(CORRUPT).isNotNull())
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
