@@ -57,6 +57,12 @@ def test_equals_naive(sides, direction, allow_exact, block_days):
     assert rows(got) == rows(naive(left, right, direction, allow_exact))
 
 
+def test_salts_do_not_change_the_result(sides):
+    left, right = sides
+    got = asof_join(left, right, ["k"], "at", "seen", ties=["rank"], block_days=100, salts=5)
+    assert rows(got) == rows(naive(left, right, "backward", True))
+
+
 def test_inner_drops_unmatched(sides):
     left, right = sides
     got = asof_join(left, right, ["k"], "at", "seen", ties=["rank"], how="inner", block_days=50)

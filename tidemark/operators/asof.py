@@ -42,6 +42,7 @@ def asof_join(
     how: str = "left",
     right_unique: bool = False,
     block_days: int = BLOCK_DAYS,
+    salts: int = 1,
 ) -> DataFrame:
     """Attach to every left row the nearest right row of the same key.
 
@@ -52,6 +53,8 @@ def asof_join(
     prefer        when given, the greatest right row by these columns among all rows in reach wins, not the nearest.
     how           ``left`` keeps unmatched left rows with nulls, ``inner`` drops them.
     right_unique  the right side has one row per (key, right_on) already.
+    salts         ways to split the left rows of one (key, block), for a left side with very many rows per key and
+                  day; the right rows are copied that often.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
@@ -77,12 +80,14 @@ def asof_join(
         *keys, block(right_on).alias("_block"), F.col(right_on).alias("_on"), F.struct(*packed).alias("_match")
     )
     spread = _spread_matches(matches, keys, order, backward, bool(prefer), block_days)
+    spread = spread.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0))
     # A left row without a date finds nothing.
     rows = left.select(
         *keys,
         block(left_on).alias("_block"),
         F.col(left_on).alias("_on"),
         F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
+        (F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int") if salts > 1 else F.lit(0)).alias("_salt"),
     )
     # Rank at one date: a match counts for left rows behind it, so inclusive matches come first.
     match_rank, row_rank = (0, 1) if allow_exact else (1, 0)
@@ -90,7 +95,7 @@ def asof_join(
         rows.withColumn("_side", F.lit(row_rank)), allowMissingColumns=True
     )
     seen = (
-        Window.partitionBy(*keys, "_block")
+        Window.partitionBy(*keys, "_block", "_salt")
         .orderBy(order("_on"), F.col("_side"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )

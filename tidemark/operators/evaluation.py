@@ -119,20 +119,27 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
     p, r = F.col("precision"), F.col("recall")
     f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
     per_label = totals.withColumns(ratio).withColumn("f1", f1)
-    measures = ["precision", "recall", "f1"]
-    support = F.sum("support")
-    macro = per_label.agg(*[F.avg(m).alias(m) for m in measures], support.alias("support"))
-    weighted = per_label.agg(
-        *[(F.sum(F.col(m) * F.col("support")) / support).alias(m) for m in measures], support.alias("support")
+    # Each label's row also counts, with its weight, towards the three summary rows.
+    hit_share = F.when(F.col("support") > 0, F.col("hits") / F.col("support")).otherwise(0.0)
+
+    def entry(label: Column, weight: Column, values: Sequence[Column]) -> Column:
+        names = ("precision", "recall", "f1")
+        return F.struct(label.alias("label"), weight.cast("double").alias("w"), *[v.alias(n) for v, n in zip(values, names)])
+
+    own, by_support = F.lit(1.0), F.col("support")
+    measured = [F.col("precision"), F.col("recall"), F.col("f1")]
+    entries = F.array(
+        entry(F.col("label"), own, measured),
+        entry(F.lit("macro avg"), own, measured),
+        entry(F.lit("weighted avg"), by_support, measured),
+        entry(F.lit("accuracy"), by_support, [hit_share] * 3),
     )
-    accuracy = per_label.agg(*[(F.sum("hits") / support).alias(m) for m in measures], support.alias("support"))
-    rows = [per_label.select("label", *measures, "support")]
-    for name, table in (("macro avg", macro), ("weighted avg", weighted), ("accuracy", accuracy)):
-        rows.append(table.select(F.lit(name).alias("label"), *measures, "support"))
-    out = rows[0]
-    for other in rows[1:]:
-        out = out.unionByName(other)
-    return out
+    spread = per_label.select("support", F.explode(entries).alias("_e"))
+    means = [
+        F.try_divide(F.sum(F.col("_e.w") * F.col(f"_e.{m}")), F.sum("_e.w")).alias(m)
+        for m in ("precision", "recall", "f1")
+    ]
+    return spread.groupBy(F.col("_e.label").alias("label")).agg(*means, F.sum("support").alias("support"))
 
 
 def roc_points(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:

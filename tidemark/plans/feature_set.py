@@ -14,6 +14,7 @@ from tidemark.operators.financials import combined_statements, latest_financials
 from tidemark.operators.macro import pivot_series, series_features, vintages_as_of
 from tidemark.operators.news import label_counts
 from tidemark.operators.series import shift, with_frames
+from tidemark.session import stage_table
 
 
 def feature_spine(
@@ -65,15 +66,18 @@ def point_in_time_features(
     ``forecasts`` (symbol, prediction_date, ...) is an optional extra left join.
     """
     spine = feature_spine(bars, day, calendar)
-    with_statements = latest_financials(spine, combined_statements(income, balance, cashflow, earnings))
-    known = vintages_as_of(spine, vintages, list(series_features()), order=macro_order)
-    # The macro side has one row per calendar day. No broadcast hint: the planner compares its measured size with
-    # the broadcast threshold at run time and falls back to a shuffled join.
-    joined = with_statements.join(pivot_series(known), "feature_date", "left")
+    # Narrow joins first: the 79 statement and macro columns are attached last and are never shuffled.
+    joined = spine
     for prefix in s.SENTIMENT_PREFIXES:
         articles, confidence = scored[prefix]
         daily = label_counts(articles, prefix, confidence).withColumnRenamed("news_date", "feature_date")
         joined = joined.join(daily, ["symbol", "feature_date"], "left")
+    joined = latest_financials(joined, combined_statements(income, balance, cashflow, earnings))
+    known = vintages_as_of(spine, vintages, list(series_features()), order=macro_order)
+    # One row per calendar day. As a written table its size is known when the join is planned: the planner broadcasts
+    # it below the broadcast threshold and shuffles beyond.
+    macro_days = stage_table(pivot_series(known), "macro-days")
+    joined = joined.join(macro_days, "feature_date", "left")
     result = joined.withColumn(s.SPLIT, split_label(F.col("prediction_date"), cutoff))
     if forecasts is None:
         return result.select(*s.FEATURE_SET_COLUMNS)
