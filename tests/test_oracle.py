@@ -1,4 +1,7 @@
-"""Every named query against its SQL on DuckDB, at the smallest scale."""
+"""Every named query that has SQL against DuckDB, at the smallest scale.
+
+Queries without SQL (fitted models, a sketch) run in ``python -m checks.verify``.
+"""
 
 import os
 
@@ -17,7 +20,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(load()[0]))
+@pytest.mark.parametrize("name", sorted(load()[1]))
 def test_query(spark, connection, name):
     verdict, rows = compare(spark, connection, SF_DIR, name)
-    assert verdict in ("ok", "rows only") and rows >= 0
+    assert verdict == "ok" and rows >= 0
