@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, neighbours, packing, pii, quality_model, repeats, rules, simhash, tool_calls, toxicity
 from tidemark.llm.common import read
 
 
@@ -21,5 +21,90 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_bpe_round_trip": op7_bpe_round_trip}
-SQL: dict[str, str] = {}
+def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op6_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(*tool_calls.exchanges(read(spark, sf_dir, "conversations")), tool_calls.REPLY)
+
+
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = repeats.kept_words(docs).select("key", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return repeats.members(docs).join(found, "key").drop("key")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.with_spans(pii.find(docs), pii.learn(docs))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(count, pii.BASE),
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _fold(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op3_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality_model.score(docs, labels, _fold(3) == 1)
+
+
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _fold(5) == 0)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+OP1_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 20
+"""
+
+QUERIES = {
+    "op1_block_matrix_neighbours": op1_block_matrix_neighbours,
+    "op10_personal_data": op10_personal_data,
+    "op2_tool_calls": op2_tool_calls,
+    "op3_fourier_quality": op3_fourier_quality,
+    "op4_repeated_passages": op4_repeated_passages,
+    "op5_decision_list": op5_decision_list,
+    "op6_simhash_pigeonhole": op6_simhash_pigeonhole,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_toxic_segments": op8_toxic_segments,
+    "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+}
+SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL}
