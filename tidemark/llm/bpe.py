@@ -14,6 +14,7 @@ of any length.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import texts_of
 
 #: Characters of the chunks and matches a worker remembers; beyond that it starts anew. It only saves time.
-CACHE_CHARS = 12_000_000
+CACHE_CHARS = 8_000_000
 
 
 class Encoder:
@@ -37,23 +38,30 @@ class Encoder:
         with open(rank_file, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        self.top_rank = max(self.ranks.values())
+        # All tokens end to end in order of rank, for decoding by position.
+        by_rank = [b""] * (self.top_rank + 1)
+        for token, rank in self.ranks.items():
+            by_rank[rank] = token
+        self.token_bytes = np.frombuffer(b"".join(by_rank), np.uint8)
+        self.token_sizes = np.fromiter(map(len, by_rank), np.int64, len(by_rank))
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
         self.of_two = np.full(1 << 16, -1, dtype=np.int32)
         for token, rank in self.ranks.items():
             if len(token) == 2:
                 self.of_two[token[0] << 8 | token[1]] = rank
-        self.top_rank = max(self.ranks.values())
         self.pattern = regex.compile(pattern)
         # Matches never reach over the point between a non-space and a space that a non-space follows, so what lies between
         # two such points can be encoded, and remembered, on its own.
         self.uneven = regex.compile(r"\s | \s|\s$|^\s")
         self.chunk = regex.compile(r"\s*\S+|\s+")
-        self.chunks: dict[str, list[int]] = {}
-        self.matches: dict[str, list[int]] = {}
+        # Packed 32-bit ids by chunk and by match.
+        self.chunks: dict[str, bytes] = {}
+        self.matches: dict[str, bytes] = {}
         self.remembered = 0
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece. The queue's steps are written out: a call for each would take most of the time."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece. The queue's steps are written out: a call for each would take most of the time."""
         rank_of = self.ranks.get
         data = b"".join(pieces)
         total = len(data)
@@ -133,7 +141,7 @@ class Encoder:
             while at < stop:
                 ids.append(rank_of(data[at : end[at]]))
                 at = end[at]
-            found.append(ids)
+            found.append(array("i", ids).tobytes())
         return found
 
     def cut(self, text: str) -> list[str]:
@@ -155,19 +163,24 @@ class Encoder:
         whole = [self.ranks.get(code) for code in coded]  # a match that is a token stays one, whatever the merges
         merged = iter(self.merge([code for code, rank in zip(coded, whole) if rank is None]))
         for match, rank in zip(unknown, whole):
-            self.matches[match] = next(merged) if rank is None else [rank]
+            self.matches[match] = next(merged) if rank is None else array("i", [rank]).tobytes()
         of = self.matches.__getitem__
         for chunk, part in zip(missing, parts):
-            self.chunks[chunk] = of(part[0]) if len(part) == 1 else list(chain.from_iterable(map(of, part)))
+            self.chunks[chunk] = b"".join(map(of, part))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed 32-bit ids of each text."""
         cut = [self.cut(text or "") for text in texts]
         self.learn(cut)
         of = self.chunks.__getitem__
-        return [list(chain.from_iterable(map(of, chunks))) for chunks in cut]
+        return [b"".join(map(of, chunks)) for chunks in cut]
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens of ``ids``, taken from all tokens laid end to end."""
+        sizes = self.token_sizes[ids]
+        ends = np.cumsum(sizes)
+        moved = np.repeat(self.token_starts[ids] - (ends - sizes), sizes)
+        return self.token_bytes[moved + np.arange(len(moved))].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -185,9 +198,9 @@ def encode(
         own = encoder(rank_file, pattern)
         for batch in batches:
             ids = own.encode(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
-            )
+            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
 
     rows = texts_of(docs, id_column, text_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -200,7 +213,12 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(rank_file, pattern)
         for batch in batches:
-            texts = [own.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
+            lists = batch.column("ids")
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            texts = [
+                own.decode(values[a:b]) if known else b""
+                for a, b, known in zip(offsets, offsets[1:], lists.is_valid().to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())],
                 names=["doc_id", "ids", "decoded"],

@@ -118,13 +118,14 @@ def nearest(
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     width = F.size("vector").alias("width")
     queries = rows.where(is_query).select("id", "vector", width, place(query_blocks).alias("q"), every(blocks).alias("c"))
-    candidates = rows.select("id", "vector", width, place(blocks).alias("c"), every(query_blocks).alias("q"))
+    # Names of their own: both sides come from the same rows.
+    candidates = rows.select(F.col("id").alias("other_id"), F.col("vector").alias("other_vector"), width, place(blocks).alias("c"), every(query_blocks).alias("q"))
 
     def tile(own: pa.Table, other: pa.Table) -> pa.Table:
         ids = own["id"].to_numpy()
         row, col, score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         if own.num_rows and other.num_rows:
-            row, col, score = best_in_tile(matrix(own["vector"]), ids, matrix(other["vector"]), other["id"].to_numpy(), k)
+            row, col, score = best_in_tile(matrix(own["vector"]), ids, matrix(other["other_vector"]), other["other_id"].to_numpy(), k)
         starts = np.searchsorted(row, np.arange(len(ids) + 1))
         some = np.nonzero(np.diff(starts))[0]
         offsets = pa.array(np.append(starts[some], len(row)), pa.int32())

@@ -12,6 +12,8 @@ whole capacity is a sequence of its own; an empty table gives an empty table; ot
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +29,11 @@ from tidemark.session import stage_table
 #: Sequences a group holds on average; the open ones at its end are all it wastes.
 GROUP_SEQUENCES = 4096
 #: Words a worker remembers the ids of; beyond that it starts anew. It only saves time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+
+
+# A word that ends in marks after an ASCII letter or digit: the tokenizer cuts there, so both parts can be encoded alone.
+_MARKED = re.compile(rb"(.*[A-Za-z0-9])([.,;:!?*#$%&]+)", re.DOTALL)
 
 
 class Words:
@@ -40,16 +46,25 @@ class Words:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.known: dict[bytes, bytes] = {}
 
+    def learn(self, words: set[bytes]) -> None:
+        missing = words.difference(self.known)
+        marked = {word: found.groups() for word in missing if (found := _MARKED.fullmatch(word))}
+        missing.difference_update(marked)
+        missing.update(part for parts in marked.values() for part in parts if part not in self.known)
+        plain = list(missing)
+        for start in range(0, len(plain), 4096):
+            part = plain[start : start + 4096]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            self.known.update((w, array("I", x.ids).tobytes()) for w, x in zip(part, found))
+        of = self.known.__getitem__
+        self.known.update((word, of(stem) + of(marks)) for word, (stem, marks) in marked.items())
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         words = [text.split() for text in texts]
-        missing = list(set().union(*words).difference(self.known))
-        for start in range(0, len(missing), 4096):
-            part = missing[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
+        self.learn(set().union(*words))
         of = self.known.__getitem__
         return [b"".join(map(of, own)) for own in words]
 

@@ -137,7 +137,7 @@ def score(
     held_out: Column,
     label_column: str = "quality",
     count: int = 256,
-    width: float = 5.0,
+    width: float = 8.0,
     ridge: float = 1e-3,
     bins: int = 4096,
     seed: int = 7,

@@ -141,14 +141,16 @@ def expression(rules: list[Rule]) -> Column:
     return verdict.otherwise(True)
 
 
+def _bin(value: Column, cuts: list[float]) -> Column:
+    """How many of the cuts a value reaches."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: value >= cut))
+
+
 def _grow(rows: DataFrame, cuts: dict[str, list[float]], longest: int) -> Rule:
     """Adds the threshold with the largest gain until no good row is covered, nothing is gained or the rule is full."""
     rule: Rule = ()
     while len(rule) < longest:
-        tests = F.array(*[
-            F.struct(F.lit(name).alias("name"), F.size(F.filter(F.array(*map(F.lit, own)), lambda c, r=ratio(name): r >= c)).alias("bin"))
-            for name, own in cuts.items()
-        ])
+        tests = F.array(*[F.struct(F.lit(name).alias("name"), _bin(ratio(name), own).alias("bin")) for name, own in cuts.items()])
         counted = (
             rows.where(covers(rule)).select("bad", F.explode(tests).alias("t")).groupBy("t.name", "t.bin")
             .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect()

@@ -60,7 +60,7 @@ def valid_arguments(tool: Column, arguments: Column, schemas: Schemas) -> Column
             value = F.try_variant_get(arguments, f"$.{field}", "variant")
             typed = F.startswith(F.schema_of_variant(value), F.lit(_TYPES[kind]))
             fits = fits & (F.coalesce(typed, F.lit(False)) if required else F.coalesce(typed, F.lit(True)))
-        known = F.forall(names, lambda n, fields=fields: n.isin(list(fields)))
+        known = F.size(F.array_except(names, F.array(*map(F.lit, fields)))) == 0
         verdict = F.when(tool == name, fits & F.coalesce(known, F.lit(True))).otherwise(verdict)
     return F.coalesce(verdict, F.lit(False))
 
