@@ -61,7 +61,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate([[1], np.full(max(0, n - 1), base, np.uint64)]).astype(np.uint64))
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors)
 
 
 class Prints:
