@@ -49,13 +49,17 @@ def statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     a text that has any is sorted again with positions, and repeated windows in order of position cover min(8, distance to the
     next) words each.
     """
-    rows = texts_of(docs, id_column, text_column)
+    return _statistics(texts_of(docs, id_column, text_column), "doc_id")
+
+
+def _statistics(rows: DataFrame, own: str) -> DataFrame:
+    """Column ``own`` and the counts of every row with a ``text``."""
     at = lambda column, i: F.get(column, i)
     # What is left without lower-case letters is short; most counts are taken from it.
-    rows = rows.select("doc_id", "text", F.regexp_replace("text", "[a-z]+", "").alias("rest"), word_array(F.col("text")).alias("words"))
+    rows = rows.select(own, "text", F.regexp_replace("text", "[a-z]+", "").alias("rest"), word_array(F.col("text")).alias("words"))
     with_word = F.filter(F.split("text", "\n"), lambda line: F.length(F.btrim(line, F.lit(SPACES))) > 0)
     rows = rows.select(
-        "doc_id",
+        own,
         (F.length("text") - _count_of(F.col("rest"), SPACE_CLASS[1:-1])).alias("word_chars"),
         _count_of(F.col("rest"), SYMBOLS).alias("n_symbols"),
         _count_of(F.col("rest"), "A-Z").alias("n_upper"),
@@ -67,7 +71,7 @@ def statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     lines, h1, n = F.col("lines"), F.col("h1"), F.size("h1")
     counts = ["word_chars", "n_symbols", "n_upper", "n_digits", "n_marks", "n_lines", "n_dup_lines", "n_words", "n_distinct"]
     rows = rows.select(
-        "doc_id",
+        own,
         *counts[:5],
         F.size(lines).alias("n_lines"),
         (F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
@@ -75,25 +79,25 @@ def statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.size(F.array_distinct("h1")).alias("n_distinct"),
         F.transform("h1", lambda x, i: F.xxhash64(x, at(h1, i + 1))).alias("h2"),
     )
-    rows = rows.select("doc_id", *counts, F.transform("h2", lambda x, i: F.xxhash64(x, at(F.col("h2"), i + 2))).alias("h4"))
+    rows = rows.select(own, *counts, F.transform("h2", lambda x, i: F.xxhash64(x, at(F.col("h2"), i + 2))).alias("h4"))
     windows = F.greatest(F.col("n_words") - (WINDOW - 1), F.lit(0))
     rows = rows.select(
-        "doc_id", *counts,
+        own, *counts,
         F.slice(F.transform("h4", lambda x, i: F.xxhash64(x, at(F.col("h4"), i + 4))), F.lit(1), windows).alias("h8"),
     )
     rows = rows.withColumn("repeats", F.size(F.array_distinct("h8")) < F.size("h8"))
     placed = F.sort_array(F.transform("h8", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    rows = rows.select("doc_id", *counts, F.when(F.col("repeats"), placed).alias("placed"))
+    rows = rows.select(own, *counts, F.when(F.col("repeats"), placed).alias("placed"))
     near = lambda e, i: F.coalesce(e["h"] == at(F.col("placed"), i)["h"], F.lit(False))
     found = F.filter("placed", lambda e, i: near(e, i + 1) | near(e, i - 1))
-    rows = rows.select("doc_id", *counts, F.sort_array(F.transform(found, lambda e: e["i"])).alias("starts"))
+    rows = rows.select(own, *counts, F.sort_array(F.transform(found, lambda e: e["i"])).alias("starts"))
     covered = F.aggregate(
         F.transform("starts", lambda x, i: F.least(F.lit(WINDOW), F.coalesce(at(F.col("starts"), i + 1) - x, F.lit(WINDOW)))),
         F.lit(0),
         lambda total, x: total + x,
     )
-    rows = rows.select("doc_id", *counts, F.coalesce(covered, F.lit(0)).alias("n_repeat_words"))
-    return rows.select("doc_id", *[F.col(c).cast("long").alias(c) for c in [*counts, "n_repeat_words"]])
+    rows = rows.select(own, *counts, F.coalesce(covered, F.lit(0)).alias("n_repeat_words"))
+    return rows.select(own, *[F.col(c).cast("long").alias(c) for c in [*counts, "n_repeat_words"]])
 
 
 def base_failed() -> Column:
@@ -230,6 +234,13 @@ def apply(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & expression(rules))
 
 
+def keep(docs: DataFrame, rules: list[Rule], text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that neither the base rules nor the list reject, unchanged."""
+    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
+    rows = _statistics(docs.select(F.struct("*").alias("_row"), text.alias("text")), "_row")
+    return apply(rows, rules).where("kept").select("_row.*")
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, the statistics, ``base_failed`` and ``kept`` of every row."""
     stats = stage_table(statistics(docs, id_column, text_column), "text-statistics")
