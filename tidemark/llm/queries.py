@@ -95,6 +95,35 @@ FROM scored
 QUALIFY rank <= 20
 """
 
+OP2_SQL = """
+WITH RECURSIVE turns AS (
+    SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS said FROM conversations
+), answers AS (
+    SELECT conv_id, turn - 1 AS call_id, said FROM turns WHERE role = 'assistant'
+), calls AS (
+    SELECT a.conv_id, a.turn AS call_id, a.said,
+           a.turn - CASE WHEN EXISTS (SELECT 1 FROM answers b WHERE b.conv_id = a.conv_id AND b.call_id = a.turn - 2)
+                         THEN 2 ELSE 1 END AS after
+    FROM turns a WHERE a.role IN ('user', 'system')
+), steps AS (
+    SELECT conv_id, call_id, said, CAST(0 AS BIGINT) AS step FROM calls c
+    WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+    UNION ALL
+    SELECT c.conv_id, c.call_id, c.said, s.step + 1
+    FROM calls c JOIN steps s ON c.conv_id = s.conv_id AND c.after = s.call_id
+)
+SELECT coalesce(s.conv_id, a.conv_id) AS conv_id, coalesce(s.call_id, a.call_id) AS call_id, s.step,
+       CASE WHEN s.conv_id IS NULL THEN 'stray' WHEN a.conv_id IS NULL THEN 'open' ELSE 'linked' END AS status,
+       s.conv_id IS NOT NULL AS valid, CAST(0 AS BIGINT) AS repeats,
+       '{' || CASE WHEN s.conv_id IS NULL THEN '' ELSE
+                '"arguments":{"text":' || CAST(to_json(s.said) AS VARCHAR) || ',"turn":' || s.call_id || '},' END
+           || '"id":' || coalesce(s.call_id, a.call_id)
+           || CASE WHEN a.conv_id IS NULL THEN '' ELSE ',"result":' || CAST(to_json(a.said) AS VARCHAR) END
+           || CASE WHEN s.conv_id IS NULL THEN '' ELSE ',"step":' || s.step || ',"tool":"reply"' END
+           || ',"valid":' || CASE WHEN s.conv_id IS NULL THEN 'false' ELSE 'true' END || '}' AS json
+FROM steps s FULL JOIN answers a ON s.conv_id = a.conv_id AND s.call_id = a.call_id
+"""
+
 QUERIES = {
     "op1_block_matrix_neighbours": op1_block_matrix_neighbours,
     "op10_personal_data": op10_personal_data,
@@ -107,4 +136,4 @@ QUERIES = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
 }
-SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL}
+SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL, "op2_tool_calls": OP2_SQL}
