@@ -5,10 +5,14 @@ from tidemark.session import configure
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", f"file://{folder}/checkpoints")
+        .config("spark.sql.warehouse.dir", f"file://{folder}/warehouse")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
