@@ -517,7 +517,8 @@ def gbt_predictions(spark, sf_dir):
 
 @check("cv_scores")
 def cv_scores(spark, sf_dir):
-    per_fold = m.cross_validate(_training(spark, sf_dir), _trees(), s.TARGET, s.KEY_COLUMNS)
+    train = _training(spark, sf_dir).filter(F.col(s.SPLIT) == "train")
+    per_fold = m.cross_validate(train, _trees(), s.TARGET, s.KEY_COLUMNS)
     return m.cross_validation_summary(per_fold)
 
 

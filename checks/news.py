@@ -84,7 +84,7 @@ def article_next_bar_with_summary(spark, sf_dir):
     "daily_news_rollup",
     with_views(
         "exploded moves",
-        """SELECT r.symbol, r.news_date, CAST(0 AS INT) AS part, r.daily_news_text, m.percent_daily_price_change
+        """SELECT r.symbol, r.news_date, r.daily_news_text, m.percent_daily_price_change
            FROM (SELECT symbol, news_date, string_agg(concat('Article ', CAST(article_no AS VARCHAR), ': ', headline),
                    ' /n ' ORDER BY article_no) AS daily_news_text
                  FROM numbered GROUP BY symbol, news_date) r

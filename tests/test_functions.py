@@ -76,8 +76,6 @@ def test_chat_label(spark, text, want):
 def test_prompts(spark):
     whole = one(spark, "abc" * 1000, "string", lambda v: x.render_prompt(x.SENTIMENT_PROMPT, article_text=v))
     assert "{negative/neutral/positive}" in whole and whole.count("abc") == 1000 and whole.endswith("Answer: ")
-    short = one(spark, "abc" * 1000, "string", lambda v: x.render_prompt("<{t}>", {"t": 4}, t=v))
-    assert short == "<abca>"
 
 
 def test_article_text_nulls(spark):
@@ -135,10 +133,8 @@ def test_rollup_parts_join_to_the_whole(spark):
     df = spark.createDataFrame(rows, "id int, headline string, created_at string, symbols string")
     df = df.withColumn("created_at", F.to_timestamp("created_at"))
     whole = {r["symbol"]: r["daily_news_text"] for r in news.daily_rollup(df).collect()}
-    parts = news.daily_rollup(df, part_articles=7).orderBy("symbol", "part").collect()
-    assert max(r["part"] for r in parts) == 7
-    for symbol in "AB":
-        assert " /n ".join(r["daily_news_text"] for r in parts if r["symbol"] == symbol) == whole[symbol]
+    parts = {r["symbol"]: r["daily_news_text"] for r in news.daily_rollup(df, piece_articles=7).collect()}
+    assert parts == whole
     assert whole["A"].startswith("Article 1: h0 /n Article 2: h24") and whole["A"].count("Article ") == 49
 
 
@@ -157,9 +153,10 @@ def test_csv_round_trip_and_quarantine(spark, tmp_path):
     from tidemark.sources import sinks
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
-    df = spark.createDataFrame([(1, 'a "quoted", text\nwith lines'), (2, "plain")], schema)
+    df = spark.createDataFrame([(1, 'a "quoted", text\nwith lines'), (2, "plain"), (3, None), (4, ""), (None, "x")], schema)
     path = str(tmp_path / "out")
-    sinks.export_csv(df, path, order=["id"], single_file=True)
+    sinks.export_csv(df, path, order=["id"])
+    assert tables.read_csv(spark, path, schema, multi_line=True).count() == 5
     assert tables.read_csv(spark, path, schema, multi_line=True).exceptAll(df).count() == 0
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         sinks.export_csv(df, path)

@@ -68,6 +68,57 @@ def test_ema_matches_pandas(bars, chunk_rows):
         np.testing.assert_allclose(got[f"ema_{span}"], want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("chunk_rows", [4, 8, 1000])
+def test_ema_with_missing_values_matches_pandas(spark, chunk_rows):
+    frame = walk({"A": 60, "B": 40, "C": 20, "D": 90})
+    close = frame["close"].to_numpy().copy()
+    first = frame.groupby("symbol", sort=False).cumcount().to_numpy()
+    close[(first < 3) & (frame["symbol"] == "A")] = np.nan  # at the start
+    close[np.isin(first, [7, 8, 9, 15, 16, 31])] = np.nan  # around chunk borders
+    close[(frame["symbol"] == "C").to_numpy()] = np.nan  # never a value
+    close[(frame["symbol"] == "D").to_numpy() & (first >= 10) & (first < 70)] = np.nan  # longer than several chunks
+    frame["close"] = close
+    rows = [(r.symbol, r.bar_date, None if np.isnan(r.close) else float(r.close)) for r in frame.itertuples()]
+    df = spark.createDataFrame(rows, "symbol string, bar_date date, close double")
+    got = by_day(series.ema(df, ["symbol"], "bar_date", "close", [3, 34], block_days=200, chunk_rows=chunk_rows), ["ema_3", "ema_34"])
+    for span in (3, 34):
+        want = frame.groupby("symbol")["close"].transform(lambda x: x.ewm(span=span, adjust=False).mean())
+        np.testing.assert_allclose(got[f"ema_{span}"].astype(float), want, rtol=1e-9)
+
+
+def test_positions_keep_rows_with_null_keys_and_dates(spark):
+    day = datetime.date(2020, 1, 1)
+    rows = [("A", day), ("A", None), (None, day), (None, None), ("A", day + datetime.timedelta(5000))]
+    got = series.number_rows(spark.createDataFrame(rows, "symbol string, bar_date date"), ["symbol"], "bar_date").collect()
+    assert sorted((r["symbol"] or "", r["_pos"]) for r in got) == [("", 0), ("", 1), ("A", 0), ("A", 1), ("A", 2)]
+
+
+def test_any_period_and_equal_spans(bars):
+    frame, df = bars
+    got = by_day(
+        indicators.indicators(df, features=["sma_12", "rsi_9", "bb_width_13", "macd", "macd_signal"], chunk_rows=16, macd_spans=(9, 26, 9)),
+        ["sma_12", "rsi_9", "bb_width_13", "macd_signal"],
+    )
+    by = frame.groupby("symbol")["close"]
+    price = frame["close"]
+    np.testing.assert_allclose(got["sma_12"].astype(float), by.transform(lambda x: x.rolling(12).mean()) / price - 1, rtol=1e-9, atol=1e-12)
+    wide = by.transform(lambda x: x.rolling(13).std()) * 4 / price
+    np.testing.assert_allclose(got["bb_width_13"].astype(float), wide, rtol=1e-8)
+
+    def strength(x):
+        move = x.diff()
+        up, down = move.clip(lower=0).rolling(9).mean(), (-move.clip(upper=0)).rolling(9).mean()
+        return 100 - 100 / (1 + up / (down + 1e-10))
+
+    np.testing.assert_allclose(got["rsi_9"].astype(float), by.transform(strength), rtol=1e-8)
+
+    def signal(x):
+        line = x.ewm(span=9, adjust=False).mean() - x.ewm(span=26, adjust=False).mean()
+        return line.ewm(span=9, adjust=False).mean() / x
+
+    np.testing.assert_allclose(got["macd_signal"].astype(float), by.transform(signal), rtol=1e-8, atol=1e-12)
+
+
 def recursive_mean(values: np.ndarray, span: int) -> np.ndarray:
     """e[0] = x[0], e[t] = e[t-1] + a (x[t] - e[t-1]) with a = 2 / (span + 1)."""
     out = np.array(values, dtype=float)

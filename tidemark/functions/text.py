@@ -89,19 +89,14 @@ def article_text(headline: Column, summary: Column | None = None) -> Column:
     return F.concat(text, F.lit(" Summary: "), F.coalesce(summary, F.lit("")))
 
 
-def render_prompt(template: str, max_chars: Mapping[str, int] | None = None, **values: Column) -> Column:
-    """Fill ``{name}`` places of a template with columns; ``{{`` and ``}}`` are literal braces.
-
-    Whole texts by default; ``max_chars`` limits a value to its first characters for models with a short input.
-    """
-    limits = max_chars or {}
+def render_prompt(template: str, **values: Column) -> Column:
+    """Fill ``{name}`` places of a template with columns, whole; ``{{`` and ``}}`` are literal braces."""
     parts: list[Column] = []
     for literal, name in re.findall(r"((?:\{\{|\}\}|[^{}])+)|\{(\w+)\}", template):
         if literal:
             parts.append(F.lit(literal.replace("{{", "{").replace("}}", "}")))
         else:
-            value = values[name].cast("string")
-            parts.append(F.substring(value, 1, limits[name]) if name in limits else value)
+            parts.append(values[name].cast("string"))
     return F.concat(*parts)
 
 

@@ -37,10 +37,12 @@ def melt(rows: Mapping[str, Sequence[Column]], names: Sequence[str], key: str) -
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Nulls and null share (percent) per column, from one aggregate over all columns."""
+    """Missing values (null, or NaN in a floating column) and their share in percent, from one aggregate."""
     names = list(columns or df.columns)
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    there = {c: F.when(F.col(c).isNotNull() & ~F.isnan(c), 1) if c in floating else F.col(c) for c in names}
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(names)]
+        F.count(F.lit(1)).alias("_rows"), *[F.count(there[c]).alias(f"_{i}") for i, c in enumerate(names)]
     )
     missing = {c: F.col("_rows") - F.col(f"_{i}") for i, c in enumerate(names)}
     rows = {c: [n, n / F.nullif(F.col("_rows"), F.lit(0)) * 100] for c, n in missing.items()}

@@ -72,8 +72,12 @@ def with_range(df: DataFrame, column: str) -> DataFrame:
 
 
 def confidence_bins(df: DataFrame, confidence: str, hit: Column, keep: Column, bins: int = 5) -> DataFrame:
-    """Accuracy per equal-width confidence bin. Edges come from all rows, the accuracy from those with ``keep``."""
-    ranged = with_range(df, confidence).filter(keep)
+    """Accuracy per equal-width confidence bin. Edges come from all rows, the accuracy from those with ``keep``.
+
+    Rows with a null or NaN confidence are in no bin.
+    """
+    usable = df.filter(F.col(confidence).isNotNull() & ~F.isnan(F.col(confidence).cast("double")))
+    ranged = with_range(usable, confidence).filter(keep)
     edges = equal_width_edges(F.col("_low"), F.col("_high"), bins)
     placed = ranged.withColumn("bin", right_closed_bin(F.col(confidence), edges))
     return placed.groupBy("bin").agg(F.avg(hit.cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -143,9 +147,13 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
 
 
 def roc_points(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """One point per distinct score, from the highest down: (threshold, true and false positives and rates)."""
+    """One point per distinct score, from the highest down: (threshold, true and false positives and rates).
+
+    Rows with a null or NaN score take no part, neither in the points nor in the totals.
+    """
     hit = F.col(label) == F.lit(positive)
-    counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    value = F.col(score).cast("double")
+    counts = df.filter(value.isNotNull() & ~F.isnan(value)).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(hit).alias("_pos"), F.count_if(~hit).alias("_neg")
     )
     staged = stage_table(counts, "roc-counts")
@@ -326,8 +334,6 @@ def top_bottom(df: DataFrame, value: str, tie: str, k: int = 5) -> DataFrame:
 def sentiment_direction_accuracy(
     df: DataFrame, sentiment: str, move: str, mapping: Mapping[str, str], flat: str = "neutral"
 ) -> DataFrame:
-    """Accuracy of the labels read as directions, without the flat label."""
-    return hit_rate(
-        df.filter(F.col(sentiment) != flat),
-        map_values(F.col(sentiment), mapping) == two_way_direction(F.col(move)),
-    )
+    """Accuracy of the labels read as directions, without the flat label; a label that is no direction is a miss."""
+    hit = map_values(F.col(sentiment), mapping) == two_way_direction(F.col(move))
+    return hit_rate(df.filter(F.col(sentiment) != flat), F.coalesce(hit, F.lit(False)))

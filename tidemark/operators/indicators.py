@@ -5,7 +5,7 @@ All rolling columns share one shuffle and one sort per (symbol, chunk); see ``ti
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -13,70 +13,89 @@ from pyspark.sql import functions as F
 from tidemark import schemas as s
 from tidemark.functions.market import candle_shape, clip, vwap_distance
 from tidemark.operators import series
-from tidemark.operators.series import BLOCK_DAYS, CHUNK_ROWS, POS, full_frame, local_ema, shift
+from tidemark.operators.series import BLOCK_DAYS, CHUNK_ROWS, POS, full_frame, shift
+from tidemark.session import stage_table
 
 _EPS = s.EPSILON
 
-# Every rolling period is a multiple of one of these. A frame re-adds all its rows for each row, so only frames of
-# this size are evaluated; longer means and deviations are put together from several of them by ``lag``.
-_PIECE, _OSCILLATOR_PIECE = 5, 7
+# A frame re-adds all its rows for each row, so frames are evaluated over this many rows only, plus one for what is left of a
+# period; longer means and deviations are put together from several of them by ``lag``.
+_UNIT = {"close": 5, "square": 5, "volume": 5, "gain": 7, "loss": 7, "range": 7}
 
 
-def _pieces(window: WindowSpec) -> dict[str, Column]:
-    """Sums (and squared deviations from the piece's own mean) over the trailing 5 or 7 rows, null until full."""
+def _values() -> dict[str, Column]:
     close, change = F.col("close"), F.col("_change")
-
-    def total(value: Column, rows: int) -> Column:
-        return full_frame(value, rows, window, F.sum)
-
     return {
-        "_close": total(close, _PIECE),
-        "_square": full_frame(close, _PIECE, window, F.var_pop) * _PIECE,
-        "_volume": total(F.col("volume"), _PIECE),
-        "_gain": total(clip(change, lower=0.0), _OSCILLATOR_PIECE),
-        "_loss": total(-clip(change, upper=0.0), _OSCILLATOR_PIECE),
-        "_range": total(F.col("_spread"), _OSCILLATOR_PIECE),
+        "close": close,
+        "volume": F.col("volume"),
+        "gain": clip(change, lower=0.0),
+        "loss": -clip(change, upper=0.0),
+        "range": F.col("_spread"),
     }
 
 
-def _parts(piece: str, rows: int, window: WindowSpec) -> list[Column]:
-    """The non-overlapping pieces that make up the trailing ``rows`` rows; null if the first one is not full."""
-    unit = _OSCILLATOR_PIECE if piece in ("_gain", "_loss", "_range") else _PIECE
-    if rows % unit:
-        raise ValueError(f"period {rows} is not a multiple of {unit}")
-    return [F.col(piece)] + [shift(piece, k, window) for k in range(unit, rows, unit)]
+def _lengths(kind: str, rows: int) -> list[int]:
+    """Lengths of the pieces of a period, newest first: full units, then what is left."""
+    unit = _UNIT[kind]
+    return [unit] * (rows // unit) + ([rows % unit] if rows % unit else [])
+
+
+def _piece_columns(window: WindowSpec, periods: Mapping[str, set[int]]) -> dict[str, Column]:
+    """Sums (for ``square``: squared deviations from the piece's own mean) over trailing pieces, null until full."""
+    values, made = _values(), {}
+    for kind, lengths in periods.items():
+        for n in sorted({x for rows in lengths for x in _lengths(kind, rows)}):
+            if kind == "square":
+                made[f"_square_{n}"] = full_frame(values["close"], n, window, F.var_pop) * n
+            else:
+                made[f"_{kind}_{n}"] = full_frame(values[kind], n, window, F.sum)
+    return made
+
+
+def _parts(kind: str, rows: int, window: WindowSpec) -> list[tuple[int, Column]]:
+    """(length, column) of the non-overlapping pieces of the trailing ``rows`` rows."""
+    parts, back = [], 0
+    for n in _lengths(kind, rows):
+        column = F.col(f"_{kind}_{n}")
+        parts.append((n, shift(column, back, window) if back else column))
+        back += n
+    return parts
+
+
+def _total(columns: list[Column]) -> Column:
+    return sum(columns[1:], columns[0])
 
 
-def _mean(piece: str, rows: int, window: WindowSpec) -> Column:
-    return sum(_parts(piece, rows, window)[1:], F.col(piece)) / rows
+def _mean(kind: str, rows: int, window: WindowSpec) -> Column:
+    return _total([c for _, c in _parts(kind, rows, window)]) / rows
 
 
 def _deviation(rows: int, window: WindowSpec) -> Column:
     """Sample deviation of the close. Squared deviations inside the pieces plus those of the piece means: both are
     sums of squares, so nothing cancels."""
-    mean = _mean("_close", rows, window)
-    between = [(part / _PIECE - mean) * (part / _PIECE - mean) for part in _parts("_close", rows, window)]
-    squares = sum(_parts("_square", rows, window)[1:], F.col("_square"))
-    return F.sqrt((squares + _PIECE * sum(between[1:], between[0])) / (rows - 1))
+    mean = _mean("close", rows, window)
+    between = [n * (part / n - mean) * (part / n - mean) for n, part in _parts("close", rows, window)]
+    inside = [part for _, part in _parts("square", rows, window)]
+    return F.sqrt((_total(inside) + _total(between)) / (rows - 1))
 
 
 def sma_distance(rows: int, window: WindowSpec) -> Column:
-    return _mean("_close", rows, window) / F.col("close") - 1
+    return _mean("close", rows, window) / F.col("close") - 1
 
 
 def rsi(rows: int, window: WindowSpec) -> Column:
     """Relative strength from simple means of gains and losses."""
-    return 100 - 100 / (1 + _mean("_gain", rows, window) / (_mean("_loss", rows, window) + _EPS))
+    return 100 - 100 / (1 + _mean("gain", rows, window) / (_mean("loss", rows, window) + _EPS))
 
 
 def bollinger(rows: int, window: WindowSpec) -> tuple[Column, Column]:
     """(position, width) of the band of two sample deviations."""
     close, deviation = F.col("close"), _deviation(rows, window)
-    return (close - _mean("_close", rows, window)) / (2 * deviation + _EPS), 4 * deviation / close
+    return (close - _mean("close", rows, window)) / (2 * deviation + _EPS), 4 * deviation / close
 
 
 def volume_ratio(rows: int, window: WindowSpec) -> Column:
-    return _mean("_volume", rows, window) / (F.col("volume") + _EPS) - 1
+    return _mean("volume", rows, window) / (F.col("volume") + _EPS) - 1
 
 
 def rate_of_change(rows: int, window: WindowSpec) -> Column:
@@ -84,28 +103,67 @@ def rate_of_change(rows: int, window: WindowSpec) -> Column:
 
 
 def zscore(rows: int, window: WindowSpec) -> Column:
-    return (F.col("close") - _mean("_close", rows, window)) / (_deviation(rows, window) + _EPS)
-
-
-def rolling_columns(window: WindowSpec) -> dict[str, Column]:
-    """Every indicator that needs only a bounded look-back, from the piece columns."""
+    return (F.col("close") - _mean("close", rows, window)) / (_deviation(rows, window) + _EPS)
+
+
+# Feature families with a period in their name: the sums they need and how far they look back.
+_FAMILIES = {
+    "sma": ("close",),
+    "rsi": ("gain", "loss"),
+    "bb_pos": ("close", "square"),
+    "bb_width": ("close", "square"),
+    "atr": ("range",),
+    "volume_sma": ("volume",),
+    "roc": (),
+    "ema": (),
+}
+_PLAIN = ("price_range", "body_size", "upper_shadow", "lower_shadow", "macd", "macd_signal", "macd_hist", "vwap_diff", "close_zscore")
+
+
+def _family(feature: str) -> tuple[str, int]:
+    """(family, period) of a feature such as ``sma_12``; period 0 for one without."""
+    name, _, period = feature.rpartition("_")
+    if name in _FAMILIES and period.isdigit() and int(period) >= 2:
+        return name, int(period)
+    if feature in _PLAIN:
+        return feature, 0
+    raise ValueError(f"unknown indicator: {feature}")
+
+
+def rolling_columns(window: WindowSpec, features: Sequence[str]) -> dict[str, Column]:
+    """The features with a bounded look-back, from the piece columns."""
     close = F.col("close")
-    columns = dict(candle_shape(F.col("open"), F.col("high"), F.col("low"), close))
-    columns |= {f"sma_{n}": sma_distance(n, window) for n in s.SMA_PERIODS}
-    columns |= {f"rsi_{n}": rsi(n, window) for n in s.RSI_PERIODS}
-    for n in s.BOLLINGER_PERIODS:
-        columns[f"bb_pos_{n}"], columns[f"bb_width_{n}"] = bollinger(n, window)
-    columns |= {f"atr_{n}": _mean("_range", n, window) for n in s.ATR_PERIODS}
-    columns |= {f"volume_sma_{n}": volume_ratio(n, window) for n in s.VOLUME_PERIODS}
-    columns["vwap_diff"] = vwap_distance(F.col("vwap"), close)
-    columns |= {f"roc_{n}": rate_of_change(n, window) for n in s.ROC_PERIODS}
-    columns["close_zscore"] = zscore(s.ZSCORE_PERIOD, window)
-    return columns
-
-
-_LONGEST_FRAME = max(*s.SMA_PERIODS, *s.ROC_PERIODS, max(s.RSI_PERIODS) + 1)
-_FAST, _SLOW, _SIGNAL = s.MACD_SPANS
-_CARRIED_SPANS = [*s.EMA_SPANS, _FAST, _SLOW]
+    plain = dict(candle_shape(F.col("open"), F.col("high"), F.col("low"), close)) | {"vwap_diff": vwap_distance(F.col("vwap"), close)}
+    made = {}
+    for feature in features:
+        family, n = _family(feature)
+        if family in plain:
+            made[feature] = plain[family]
+        elif family == "close_zscore":
+            made[feature] = zscore(s.ZSCORE_PERIOD, window)
+        elif family in ("bb_pos", "bb_width"):
+            made[feature] = bollinger(n, window)[family == "bb_width"]
+        elif family == "atr":
+            made[feature] = _mean("range", n, window)
+        elif family in ("sma", "rsi", "volume_sma", "roc"):
+            made[feature] = {"sma": sma_distance, "rsi": rsi, "volume_sma": volume_ratio, "roc": rate_of_change}[family](n, window)
+    return made
+
+
+def _needs(features: Sequence[str]) -> tuple[dict[str, set[int]], int]:
+    """Periods by kind of sum, and the longest look-back in rows."""
+    periods: dict[str, set[int]] = {}
+    longest = 1
+    for feature in features:
+        family, n = _family(feature)
+        if family == "close_zscore":
+            family, n = "bb_pos", s.ZSCORE_PERIOD
+        if not n or family == "ema":
+            continue
+        longest = max(longest, n + 1)
+        for kind in _FAMILIES[family]:
+            periods.setdefault(kind, set()).add(n)
+    return periods, longest
 
 
 def indicators(
@@ -116,52 +174,43 @@ def indicators(
     warmup: int = 0,
     block_days: int = BLOCK_DAYS,
     chunk_rows: int = CHUNK_ROWS,
+    macd_spans: tuple[int, int, int] = s.MACD_SPANS,
 ) -> DataFrame:
     """Bars plus the requested indicator columns; the first ``warmup`` rows of each symbol are dropped.
 
-    Only what the requested features need is computed: without an exponential mean the pass that prepares the
-    chunk states is left out.
+    ``features`` are the plain names and any ``sma_<n>, rsi_<n>, bb_pos_<n>, bb_width_<n>, atr_<n>, volume_sma_<n>, roc_<n>,
+    ema_<n>``. Only what they need is computed. Numbered bars, and exponential means if any are asked for, are written
+    once and read by the passes that follow.
     """
-    unknown = set(features) - set(s.INDICATOR_FEATURES)
-    if unknown:
-        raise ValueError(f"unknown indicators: {sorted(unknown)}")
-    keys = list(by)
+    periods, longest = _needs(features)
+    keys, close = list(by), F.col("close")
+    fast, slow, signal = macd_spans
     with_macd = any(f.startswith("macd") for f in features)
-    spans = [n for n in s.EMA_SPANS if f"ema_{n}" in features]
-    spans += [n for n in (_FAST, _SLOW) if with_macd and n not in spans]
-    size = series.ema_chunk_rows(_CARRIED_SPANS, chunk_rows)
+    spans = {n: f"_ema_{n}" for family, n in map(_family, features) if family == "ema"}
+    if with_macd:
+        spans |= {n: f"_ema_{n}" for n in (fast, slow)}
 
-    numbered = series.number_rows(bars, keys, on, block_days=block_days)
-    rows = series.spread_chunks(numbered, _LONGEST_FRAME, 0, size)
-    window = series.chunk_window(keys)
+    rows = series.number_rows(bars, keys, on, block_days=block_days)
     if spans:
-        signal = (_FAST, _SLOW, _SIGNAL) if with_macd else None
-        carries = series.ema_carries(numbered, keys, "close", spans, size, signal)
-        # Rows that only serve as look-back may sit in a chunk that has no state of its own.
-        rows = rows.join(carries, [*keys, series.CHUNK], "left")
-    close = F.col("close")
-    first = {"_change": close - shift("close", 1, window), "_spread": (F.col("high") - F.col("low")) / close}
-    for span in spans:
-        first[f"_ema_{span}"] = local_ema(close, span, F.col(f"_carry_{span}"), window, size)
-    rows = rows.withColumns(first)
-    # Further levels over the same partitioning and order: no further shuffle, and what no requested feature needs
-    # is pruned by the optimizer.
-    second = _pieces(window)
+        rows = series.with_ema(stage_table(rows, "numbered-bars"), keys, close, spans, chunk_rows)
     if with_macd:
-        # The line starts at zero, and so does its mean.
-        second["_line"] = F.col(f"_ema_{_FAST}") - F.col(f"_ema_{_SLOW}")
-        second["_signal"] = local_ema(second["_line"], _SIGNAL, F.col("_carry_signal"), window, size)
-    rows = rows.withColumns(second)
-    rows = rows.withColumns({name: column for name, column in rolling_columns(window).items() if name in features})
+        line = F.col(f"_ema_{fast}") - F.col(f"_ema_{slow}")
+        rows = stage_table(rows.withColumn("_line", line), "bars-with-means")
+        rows = series.with_ema(rows, keys, F.col("_line"), {signal: "_signal"}, chunk_rows)
+    window = series.chunk_window(keys)
+    rows = series.spread_chunks(rows, longest, 0, chunk_rows)
+    rows = rows.withColumns({"_change": close - shift("close", 1, window), "_spread": (F.col("high") - F.col("low")) / close})
+    # Further levels over the same partitioning and order: no further shuffle.
+    rows = rows.withColumns(_piece_columns(window, periods) or {"_none": F.lit(0)})
+    made = rolling_columns(window, features)
+    made |= {f"ema_{n}": F.col(f"_ema_{n}") / close - 1 for n in spans if f"ema_{n}" in features}
     if with_macd:
-        rows = rows.withColumns(
-            {
-                "macd": F.col("_line") / close,
-                "macd_signal": F.col("_signal") / close,
-                "macd_hist": (F.col("_line") - F.col("_signal")) / close,
-            }
-        )
-    rows = rows.withColumns({f"ema_{n}": F.col(f"_ema_{n}") / close - 1 for n in s.EMA_SPANS if f"ema_{n}" in features})
+        made |= {
+            "macd": F.col("_line") / close,
+            "macd_signal": F.col("_signal") / close,
+            "macd_hist": (F.col("_line") - F.col("_signal")) / close,
+        }
+    rows = rows.withColumns(made)
     kept = rows.filter(F.col(series.HOME) & (F.col(POS) >= warmup))
     return kept.select(*bars.columns, *features)
 

@@ -79,9 +79,9 @@ def first_release(vintages: DataFrame, skip_nulls: bool = True) -> DataFrame:
     rest = [c for c in vintages.columns if c not in keys]
     if not skip_nulls:
         return vintages.groupBy(*keys).agg(
-            F.min_by(F.struct(*rest), F.struct("realtime_start", "realtime_end")).alias("_row")
+            F.min_by(F.struct(*rest), F.struct("realtime_start", "realtime_end", *rest)).alias("_row")
         ).select(*keys, "_row.*").select(*vintages.columns)
-    order = F.struct("realtime_start", "realtime_end")
+    order = F.struct("realtime_start", "realtime_end", *rest)
     firsts = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest]
     return vintages.groupBy(*keys).agg(*firsts).select(*vintages.columns)
 

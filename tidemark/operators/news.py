@@ -12,7 +12,7 @@ from tidemark.functions.text import ARTICLE_SEPARATOR, article_text, join_symbol
 from tidemark.operators.asof import latest_per_key
 
 _ROLLUP_SLICE_SECONDS = 300
-_ROLLUP_PART_ARTICLES = 1000
+_ROLLUP_PIECE_ARTICLES = 1000
 
 
 def flatten_articles(articles: DataFrame) -> DataFrame:
@@ -101,26 +101,31 @@ def number_articles(news: DataFrame, slice_seconds: int = _ROLLUP_SLICE_SECONDS)
     )
 
 
-def daily_rollup(news: DataFrame, part_articles: int = _ROLLUP_PART_ARTICLES) -> DataFrame:
-    """All headlines of a symbol's day in creation order as one text.
+def daily_rollup(news: DataFrame, piece_articles: int = _ROLLUP_PIECE_ARTICLES) -> DataFrame:
+    """All headlines of a symbol's day in creation order as one text, one row per symbol and day.
 
-    Days with more than ``part_articles`` articles come as several rows (``part`` 0, 1, ...): the texts of the
-    parts in order are the whole text, and no task has to hold an unbounded day. A null headline has no text and
-    is left out, its number stays.
+    A large day is joined in two levels: pieces of ``piece_articles`` articles on many tasks, then the few pieces. A null
+    headline has no text and is left out, its number stays; a day with null headlines only has an empty text.
     """
     numbered = number_articles(news)
-    part = F.floor((F.col("article_no") - 1) / part_articles).cast("int")
+    piece = F.floor((F.col("article_no") - 1) / piece_articles).cast("int")
     label = F.concat(F.lit("Article "), F.col("article_no").cast("string"), F.lit(": "), F.col("headline"))
-    ordered = F.array_sort(F.collect_list(F.when(label.isNotNull(), F.struct("article_no", label.alias("text")))))
-    return numbered.groupBy("symbol", "news_date", part.alias("part")).agg(
-        F.array_join(F.transform(ordered, lambda a: a["text"]), ARTICLE_SEPARATOR).alias("daily_news_text")
-    )
+    day = ["symbol", "news_date"]
+    pieces = numbered.groupBy(*day, piece.alias("_piece")).agg(_joined("article_no", label).alias("_text"))
+    whole = F.coalesce(_joined("_piece", F.col("_text")), F.lit(""))
+    return pieces.groupBy(*day).agg(whole.alias("daily_news_text"))
+
+
+def _joined(order: str, text: Column) -> Column:
+    """Aggregate: non-null texts in order; null if there are none."""
+    ordered = F.array_sort(F.collect_list(F.when(text.isNotNull(), F.struct(order, text.alias("text")))))
+    return F.when(F.size(ordered) > 0, F.array_join(F.transform(ordered, lambda a: a["text"]), ARTICLE_SEPARATOR))
 
 
 def rollup_next_bar(news: DataFrame, bars: DataFrame, day: str = "bar_date") -> DataFrame:
     """Daily roll-up joined to the following day's move."""
     return daily_rollup(news).join(bar_moves(bars, day), ["symbol", "news_date"]).select(
-        "symbol", "news_date", "part", "daily_news_text", "percent_daily_price_change"
+        "symbol", "news_date", "daily_news_text", "percent_daily_price_change"
     )
 
 

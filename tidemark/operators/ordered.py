@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage_table
 
-ORDER_BUCKETS = 256
+BUCKET_ROWS = 100_000
 
 
-def order_buckets(df: DataFrame, value: str, buckets: int = ORDER_BUCKETS, column: str = "_bucket") -> DataFrame:
+def bucket_count(df: DataFrame, rows_per_bucket: int = BUCKET_ROWS) -> int:
+    """Range buckets for a staged table: as many as its rows ask for, and one per shuffle partition at least."""
+    wanted = -(-df.count() // rows_per_bucket)
+    return max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def order_buckets(df: DataFrame, value: str, buckets: int | None = None, column: str = "_bucket") -> DataFrame:
     """Add a range bucket of a double column; buckets hold about the same number of rows.
 
-    The split points are approximate quantiles: a list of at most ``buckets`` numbers on the driver. Any split
+    The split points are approximate quantiles: a list of less than ``buckets`` numbers on the driver. Any split
     points give right results, they only even out the work. Equal values share a bucket.
     """
+    buckets = buckets or bucket_count(df)
     marks = [i / buckets for i in range(1, buckets)]
     inner = sorted({float(x) for x in df.approxQuantile(value, marks, 1.0 / (4 * buckets))})
     splits = [float("-inf"), *inner, float("inf")]
@@ -34,7 +41,7 @@ def cumulative(
     sums: Mapping[str, str],
     by: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = ORDER_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Running sums ``{new column: summed column}`` in ``order``; the order column must be unique per ``by`` group.
 

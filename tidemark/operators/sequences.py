@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as s
 from tidemark.functions.market import split_label
-from tidemark.operators.series import BLOCK_DAYS, CHUNK_ROWS, POS, number_rows, shift, with_frames
+from tidemark.operators.series import (
+    BLOCK_DAYS,
+    CHUNK_ROWS,
+    HOME,
+    POS,
+    chunk_window,
+    number_rows,
+    shift,
+    spread_chunks,
+    with_frames,
+)
+from tidemark.session import stage_table
 
 
 def forward_returns(
@@ -69,8 +80,9 @@ def sequences(
         after=horizon,
         block_days=block_days,
         chunk_rows=chunk_rows,
+        keep_position=True,
     )
-    complete = framed.filter((F.size("sequence") == length) & F.col("target_date").isNotNull())
+    complete = framed.filter((F.col(POS) >= length - 1) & F.col("target_date").isNotNull())
     return complete.select(
         *by,
         F.col(on).alias("prediction_date"),
@@ -82,6 +94,67 @@ def sequences(
     )
 
 
+def training_sequences(
+    df: DataFrame,
+    features: Sequence[str],
+    cutoff: str,
+    by: Sequence[str] = ("symbol",),
+    on: str = "bar_date",
+    close: str = "close",
+    length: int = s.SEQUENCE_LENGTH,
+    horizon: int = s.PREDICTION_HORIZON,
+    fit_on_train: bool = False,
+    min_history: int = s.SEQUENCE_LENGTH + s.PREDICTION_HORIZON + s.MIN_EXTRA_ROWS,
+    min_train: int = s.MIN_TRAIN_ROWS,
+    min_test: int = s.MIN_TEST_ROWS,
+    block_days: int = BLOCK_DAYS,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Scaled sequences with forward returns and the target-date split, of keys with enough history, train and test rows.
+
+    The numbered rows are written once. One aggregate per key over them holds everything that decides about a key or scales
+    it: rows, train and test sequences (a row is the target of one if enough rows lie before it) and the ranges. It is
+    joined to plain rows; arrays are built last and go through no join.
+    """
+    keys, names = list(by), list(dict.fromkeys([close, *features]))
+    rows = stage_table(number_rows(df.select(*keys, on, *names), keys, on, block_days=block_days), "ordered-rows")
+    trained = F.col(on) < F.to_date(F.lit(cutoff))
+    target = F.col(POS) >= length - 1 + horizon
+    ranges = []
+    for c in features:
+        value = F.when(trained, F.col(c)) if fit_on_train else F.col(c)
+        ranges += [F.min(value).alias(f"_min_{c}"), F.max(value).alias(f"_max_{c}")]
+    about = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(target & trained).alias("_train"),
+        F.count_if(target & ~trained).alias("_test"),
+        *ranges,
+    )
+    usable = about.filter((F.col("_rows") >= min_history) & (F.col("_train") >= min_train) & (F.col("_test") >= min_test))
+    joined = rows.join(usable.drop("_rows", "_train", "_test"), keys)
+    scaled = [scaled_value(F.col(c), F.col(f"_min_{c}"), F.col(f"_max_{c}")).cast("double") for c in features]
+    narrow = joined.select(*keys, on, POS, close, F.array(*scaled).alias("_step"))
+    window = chunk_window(keys)
+    framed = spread_chunks(narrow, length - 1, horizon, chunk_rows).withColumns(
+        {
+            "sequence": F.collect_list("_step").over(window.rowsBetween(-(length - 1), 0)),
+            "future_close": shift(close, -horizon, window),
+            "target_date": shift(on, -horizon, window),
+        }
+    )
+    complete = framed.filter(F.col(HOME) & (F.col(POS) >= length - 1) & F.col("target_date").isNotNull())
+    return complete.select(
+        *keys,
+        F.col(on).alias("prediction_date"),
+        "target_date",
+        F.col(close).alias("prev_close"),
+        "future_close",
+        F.try_divide(F.col("future_close") - F.col(close), F.col(close)).alias("forward_return"),
+        "sequence",
+        split_label(F.col("target_date"), cutoff, inclusive=False).alias(s.SPLIT),
+    )
+
+
 def keys_with_history(df: DataFrame, by: Sequence[str], at_least: int) -> DataFrame:
     """Keys that have at least that many rows, with their count."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= at_least)

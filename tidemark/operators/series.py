@@ -9,11 +9,13 @@ run per (key, chunk). Recursions (exponential means) carry a small linear state
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.session import stage_table
+
 BLOCK_DAYS = 2048
 CHUNK_ROWS = 512
 
@@ -21,7 +23,7 @@ POS, CHUNK, HOME = "_pos", "_chunk", "_home"
 
 
 def time_block(on: str | Column, block_days: int = BLOCK_DAYS) -> Column:
-    """Index of the fixed calendar block a date or timestamp falls in."""
+    """Index of the fixed calendar block a date or timestamp falls in; null without one."""
     column = F.col(on) if isinstance(on, str) else on
     return F.floor(F.unix_date(F.to_date(column)) / F.lit(block_days)).cast("int")
 
@@ -38,18 +40,25 @@ def number_rows(
 
     Two-level numbering: counts per (key, calendar block) are pre-aggregated, their running total gives each
     block's offset, and ``row_number`` only runs inside a block. ``block_days`` bounds the rows of one window
-    group: with one row per key and day a group holds at most ``block_days`` rows.
+    group: with one row per key and day a group holds at most ``block_days`` rows, so series finer than a day need
+    fewer days. Null keys are keys of their own; rows without a date come first.
+
+    The input is read twice (once for keys and dates only), so it should be a table, not a long plan.
     """
-    keys = list(by)
+    keys = [*by, "_block"]
     blocked = df.withColumn("_block", time_block(on, block_days))
-    sizes = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(*keys, "_block").orderBy(on, *ties)
+    sizes = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    offsets = sizes.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], starts)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & blocked[k].eqNullSafe(offsets[f"_o{i}"])
+    within = Window.partitionBy(*keys).orderBy(on, *ties)
     return (
-        blocked.join(offsets, [*keys, "_block"])
+        blocked.join(offsets, same)
         .withColumn(position, F.col("_offset") + F.row_number().over(within) - 1)
-        .drop("_block", "_offset")
+        .drop("_block", "_offset", *[f"_o{i}" for i in range(len(keys))])
     )
 
 
@@ -121,94 +130,108 @@ def ema_chunk_rows(spans: Sequence[int], chunk_rows: int = CHUNK_ROWS) -> int:
     return max(1, min(chunk_rows, int(300.0 / -math.log(1.0 - _alpha(smallest)))))
 
 
-def _offset_in_chunk(chunk_rows: int) -> Column:
-    return F.col(POS) - F.col(CHUNK) * F.lit(chunk_rows)
-
-
-def local_ema(value: Column, span: int, carry: Column, window: WindowSpec, chunk_rows: int) -> Column:
-    """Exponential mean inside a chunk, given the mean at the end of the previous chunk.
+def _step_weights(gap: Column, span: int) -> tuple[Column, Column]:
+    """(log of the weight of the old mean, weight of the new value) when ``gap`` rows without value lie between.
 
-    With w = 1 - alpha the recursion e[t] = w e[t-1] + alpha x[t] unrolls to
-    w^(j+1) carry + alpha w^j sum(x[i] w^-i), so a plain running sum over the chunk is enough.
+    The old mean fades with every row, and both weights are scaled to add up to one; without a gap they are 1 - alpha
+    and alpha.
     """
     alpha = _alpha(span)
-    weight = F.lit(1.0 - alpha)
-    offset = _offset_in_chunk(chunk_rows).cast("double")
-    running = window.rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(F.when(F.col(HOME), value * F.pow(weight, -offset))).over(running)
-    return F.pow(weight, offset + 1) * carry + F.lit(alpha) * F.pow(weight, offset) * total
+    old = F.pow(F.lit(1.0 - alpha), (gap + 1).cast("double"))
+    total = F.when(gap == 0, F.lit(1.0)).otherwise(old + F.lit(alpha))
+    return (gap + 1).cast("double") * F.lit(math.log(1.0 - alpha)) - F.log(total), F.lit(alpha) / total
 
 
-def ema_carries(
-    numbered: DataFrame,
-    by: Sequence[str],
-    value: str,
-    spans: Sequence[int],
-    chunk_rows: int,
-    signal: tuple[int, int, int] | None = None,
-) -> DataFrame:
-    """State of each exponential mean at the start of every chunk: (by, _chunk, _carry_<span>...).
+def _inside(rows: DataFrame, by: Sequence[str], value: Column, spans: Sequence[int]) -> DataFrame:
+    """What the values of a row's own chunk make of a mean that starts at the chunk's first value.
 
-    A full chunk changes the state linearly, so its effect is one weighted sum per span (partial aggregation,
-    no sort). ``signal=(fast, slow, s)`` adds ``_carry_signal``, the span-``s`` mean of fast minus slow; its chunk
-    effect is again a weighted sum because the geometric sums have closed forms. The fold over earlier chunks
-    stops where the remaining weight is below the smallest positive double.
+    The recursion e[t] = a[t] e[t-1] + b[t] x[t] unrolls to A[t] (e[first] + sum of b[i] x[i] / A[i]) with A the running
+    product of a, kept as a running sum of logarithms.
     """
-    keys = list(by)
-    rows = numbered.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)).cast("long"))
-    left = F.lit(float(chunk_rows)) - _offset_in_chunk(chunk_rows).cast("double")  # rows to the chunk end, >= 1
-    x = F.col(value)
-    effects = [F.min(F.when(_offset_in_chunk(chunk_rows) == 0, x)).alias("_first")]
+    window = chunk_window(by)
+    past = window.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    there = value.isNotNull()
+    rows = rows.withColumn("_there", there).withColumn("_before", F.max(F.when(there, F.col(POS))).over(past))
+    gap = F.col(POS) - F.col("_before") - 1
+    next_ = F.col("_there") & F.col("_before").isNotNull()
+    steps = {}
     for span in spans:
-        w = 1.0 - _alpha(span)
-        effects.append(F.sum(x * F.lit(_alpha(span)) * F.pow(F.lit(w), left - 1)).alias(f"_effect_{span}"))
-    if signal:
-        fast, slow, s = signal
-        v = 1.0 - _alpha(s)
-        for span in (fast, slow):
-            w = 1.0 - _alpha(span)
-            geometric = (F.pow(F.lit(v), left) - F.pow(F.lit(w), left)) / F.lit(v - w)
-            effects.append(F.sum(x * F.lit(_alpha(span) * _alpha(s)) * geometric).alias(f"_line_{span}"))
-    chunks = rows.groupBy(*keys, CHUNK).agg(*effects)
-
-    slowest = max([*spans, signal[2] if signal else 0])
-    reach = math.ceil(745.0 / (-math.log(1.0 - _alpha(slowest)) * chunk_rows)) + 1
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-reach, -1)
-    packed = F.struct("_first", CHUNK, *[c for c in chunks.columns if c.startswith(("_effect_", "_line_"))])
+        fade, fresh = _step_weights(gap, span)
+        steps[f"_fade_{span}"] = F.when(next_, fade).otherwise(0.0)
+        steps[f"_new_{span}"] = F.when(next_, fresh * value).otherwise(0.0)
+    rows = rows.withColumns(steps)
+    first = F.first(F.when(F.col("_there"), value), ignorenulls=True).over(so_far)
+    rows = rows.withColumns(
+        {
+            "_first": first,
+            "_first_at": F.min(F.when(F.col("_there"), F.col(POS))).over(so_far),
+            "_last_at": F.max(F.when(F.col("_there"), F.col(POS))).over(so_far),
+            **{f"_log_{span}": F.sum(f"_fade_{span}").over(so_far) for span in spans},
+        }
+    )
+    added = {f"_add_{n}": F.sum(F.col(f"_new_{n}") * F.exp(-F.col(f"_log_{n}"))).over(so_far) for n in spans}
+    return rows.withColumns(added)
+
+
+def _carries(inside: DataFrame, by: Sequence[str], spans: Sequence[int], chunk_rows: int) -> DataFrame:
+    """Mean of each span, and the position of the last value, before every chunk: (_k0.., _carry_<span>.., _carried_at).
+
+    A chunk's last row tells what the chunk does to a mean that comes in. The fold over earlier chunks stops where the
+    remaining weight is below the smallest positive double.
+    """
+    parts = ["_first", "_first_at", "_last_at", *[f"_{part}_{n}" for n in spans for part in ("log", "add")]]
+    chunks = inside.groupBy(*by, CHUNK).agg(F.max_by(F.struct(*parts), POS).alias("_end"))
+    reach = math.ceil(745.0 / (-math.log(1.0 - _alpha(max(spans))) * chunk_rows)) + 1
+    # Chunks are counted without empty ones: however long a gap is, the mean before it is still within reach.
+    before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.col("_end._first_at").isNotNull()
+    chunks = chunks.withColumn("_done", F.coalesce(F.sum(filled.cast("long")).over(before), F.lit(0)))
+    earlier = Window.partitionBy(*by).orderBy("_done").rangeBetween(-reach, -1)
 
     def step(state: Column, item: Column) -> Column:
-        # The very first value starts every recursion: it acts as the state before chunk 0.
-        opening = {
-            span: F.when(item[CHUNK] == 0, item["_first"]).otherwise(state[f"s{span}"]) for span in spans
-        }
         fields = []
-        for span in spans:
-            decay = (1.0 - _alpha(span)) ** chunk_rows
-            fields.append((opening[span] * F.lit(decay) + item[f"_effect_{span}"]).alias(f"s{span}"))
-        if signal:
-            fast, slow, s = signal
-            v = 1.0 - _alpha(s)
-            start = F.when(item[CHUNK] == 0, F.lit(0.0)).otherwise(state["signal"])
-            moved = start * F.lit(v**chunk_rows)
-            for span, sign in ((fast, 1.0), (slow, -1.0)):
-                w = 1.0 - _alpha(span)
-                # carry of the span's own mean, seen through the signal mean: sum of v^(C-1-t) w^(t+1)
-                passed = _alpha(s) * w * (v**chunk_rows - w**chunk_rows) / (v - w)
-                moved = moved + F.lit(sign) * (opening[span] * F.lit(passed) + item[f"_line_{span}"])
-            fields.append(moved.alias("signal"))
-        return F.struct(*fields)
-
-    zero = F.struct(
-        *[F.lit(0.0).alias(f"s{span}") for span in spans], *([F.lit(0.0).alias("signal")] if signal else [])
-    )
-    folded = chunks.withColumn("_state", F.aggregate(F.collect_list(packed).over(earlier), zero, step))
-    first = F.col(CHUNK) == 0
-    carried = [
-        F.when(first, F.col("_first")).otherwise(F.col(f"_state.s{span}")).alias(f"_carry_{span}") for span in spans
-    ]
-    if signal:
-        carried.append(F.when(first, F.lit(0.0)).otherwise(F.col("_state.signal")).alias("_carry_signal"))
-    return folded.select(*keys, CHUNK, *carried)
+        for n in spans:
+            opened = opening(state[f"s{n}"], state["at"], item["_first"], item["_first_at"], n)
+            fields.append((F.exp(item[f"_log_{n}"]) * (opened + item[f"_add_{n}"])).alias(f"s{n}"))
+        return F.struct(*fields, item["_last_at"].alias("at"))
+
+    none = F.lit(None)
+    zero = F.struct(*[none.cast("double").alias(f"s{n}") for n in spans], none.cast("long").alias("at"))
+    state = F.aggregate(F.collect_list(F.when(filled, F.col("_end"))).over(earlier), zero, step)
+    folded = chunks.withColumn("_state", state)
+    carried = [F.col(f"_state.s{n}").alias(f"_carry_{n}") for n in spans]
+    return folded.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*by, CHUNK])], *carried, F.col("_state.at").alias("_carried_at"))
+
+
+def opening(carry: Column, carried_at: Column, first: Column, first_at: Column, span: int) -> Column:
+    """The mean at a chunk's first value, from the mean before the chunk (null at the start of a series)."""
+    fade, fresh = _step_weights(first_at - carried_at - 1, span)
+    return F.when(carry.isNull(), first).otherwise(F.exp(fade) * carry + fresh * first)
+
+
+def with_ema(
+    numbered: DataFrame, by: Sequence[str], value: Column, columns: Mapping[int, str], chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Adds exponential means of ``value`` to numbered rows, one per span, by name.
+
+    The first value starts a mean; a row without value keeps it, and the old mean goes on fading meanwhile. Chunk states
+    come from a second pass over the rows (one row per chunk leaves it), so ``numbered`` should be a table.
+    """
+    spans = list(columns)
+    size = ema_chunk_rows(spans, chunk_rows)
+    inside = _inside(spread_chunks(numbered, 0, 0, size), by, value, spans)
+    carries = _carries(inside, by, spans, size)
+    same = F.lit(True)
+    for i, k in enumerate([*by, CHUNK]):
+        same = same & inside[k].eqNullSafe(carries[f"_k{i}"])
+    joined = inside.join(carries, same)
+    made = {}
+    for n, name in columns.items():
+        opened = opening(F.col(f"_carry_{n}"), F.col("_carried_at"), F.col("_first"), F.col("_first_at"), n)
+        here = F.exp(F.col(f"_log_{n}")) * (opened + F.col(f"_add_{n}"))
+        made[name] = F.when(F.col("_first_at").isNull(), F.col(f"_carry_{n}")).otherwise(here)
+    return joined.withColumns(made).select(*numbered.columns, *columns.values())
 
 
 def ema(
@@ -221,14 +244,6 @@ def ema(
     chunk_rows: int = CHUNK_ROWS,
     prefix: str = "ema_",
 ) -> DataFrame:
-    """Exponential means (first value starts the recursion) of ``value`` for several spans, exact at any length."""
-    size = ema_chunk_rows(spans, chunk_rows)
-    numbered = number_rows(df, by, on, block_days=block_days)
-    carries = ema_carries(numbered, by, value, spans, size)
-    rows = spread_chunks(numbered, 0, 0, size).join(carries, [*by, CHUNK])
-    window = chunk_window(by)
-    for span in spans:
-        rows = rows.withColumn(
-            f"{prefix}{span}", local_ema(F.col(value), span, F.col(f"_carry_{span}"), window, size)
-        )
-    return rows.drop(POS, CHUNK, HOME, *[f"_carry_{span}" for span in spans])
+    """Exponential means of ``value`` for several spans, exact at any length; see :func:`with_ema`."""
+    numbered = stage_table(number_rows(df, by, on, block_days=block_days), "numbered")
+    return with_ema(numbered, by, F.col(value), {n: f"{prefix}{n}" for n in spans}, chunk_rows).drop(POS)

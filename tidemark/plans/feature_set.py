@@ -81,8 +81,10 @@ def point_in_time_features(
     result = joined.withColumn(s.SPLIT, split_label(F.col("prediction_date"), cutoff))
     if forecasts is None:
         return result.select(*s.FEATURE_SET_COLUMNS)
-    extra = [c for c in forecasts.columns if c not in s.KEY_COLUMNS]
-    return result.join(forecasts, s.KEY_COLUMNS, "left").select(*s.FEATURE_SET_COLUMNS, *extra)
+    # Columns that the feature set has already stay as they are; of several forecasts for a key the greatest counts.
+    extra = [c for c in forecasts.columns if c not in s.FEATURE_SET_COLUMNS]
+    unique = latest_per_key(forecasts.select(*s.KEY_COLUMNS, *extra), s.KEY_COLUMNS, [])
+    return result.join(unique, s.KEY_COLUMNS, "left").select(*s.FEATURE_SET_COLUMNS, *extra)
 
 
 def split_ranges(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import is_plain_ticker, strip, ticker_form
+from tidemark.operators.asof import latest_per_key
 from tidemark.operators.macro import first_release, revision_counts
 from tidemark.operators.news import dedupe_articles, flatten_articles
 from tidemark.sources.payloads import json_observations, transpose_statement
@@ -42,9 +43,9 @@ def load_news(articles: Sequence[DataFrame]) -> DataFrame:
     return dedupe_articles(union_frames([flatten_articles(a) for a in articles]))
 
 
-def load_bars(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of bar frames with one row per symbol and time stamp, exact repeats removed."""
-    return union_frames(frames).distinct()
+def load_bars(frames: Sequence[DataFrame], key: str = "symbol", on: str = "bar_date") -> DataFrame:
+    """Union of bar frames with one row per symbol and day; of several versions the greatest by its columns stays."""
+    return latest_per_key(union_frames(frames), [key, on], [])
 
 
 def load_macro(payloads: DataFrame, payload: str = "payload") -> dict[str, DataFrame]:

@@ -63,12 +63,8 @@ def forecast_dataset(
 
     By default the scaling range covers all rows of a symbol; with ``fit_on_train`` only bars before the cut-off.
     """
-    ready = indicators.indicator_table(bars, on=on)
-    enough = sequences.with_min_history(ready)
-    fit = F.col(on) < F.to_date(F.lit(cutoff)) if fit_on_train else None
-    scaled = sequences.minmax_by_key(enough, ["symbol"], features, fit)
-    made = sequences.sequences(scaled, [f"{c}_scaled" for c in features], on=on)
-    return sequences.target_date_split(made, cutoff)
+    ready = stage_table(indicators.indicator_table(bars, on=on), "indicators")
+    return sequences.training_sequences(ready, list(features), cutoff, on=on, fit_on_train=fit_on_train)
 
 
 def forecast_tables(predictions: DataFrame) -> dict[str, DataFrame]:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,27 +40,38 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only in local mode, where driver and executors are one process.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one below the warehouse where that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise ValueError("spark.checkpoint.dir or spark.sql.warehouse.dir must name a folder shared by all executors")
+    return f"{warehouse.rstrip('/')}/_shared"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; an earlier stage is never overwritten."""
-    return f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the stages written inside the block when it ends; what is read from them must be written by then."""
+    _scopes.append(made := [])
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import union_frames
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), file_format: str = "parquet"
@@ -23,22 +21,19 @@ def write_table(
     writer.save(path)
 
 
-def export_csv(df: DataFrame, path: str, order: Sequence[str | Column] = (), single_file: bool = False) -> None:
-    """CSV with header, readable by :func:`tidemark.sources.tables.read_csv`.
+def export_csv(df: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
+    """CSV with header, readable by :func:`tidemark.sources.tables.read_csv`; null and an empty text stay apart.
 
-    With ``order`` the part files are ranges of a total order. ``single_file`` is for small reports: it is refused
-    above ``SINGLE_FILE_ROWS`` rows, because one file means one task.
+    With ``order`` the part files are ranges of a total order.
     """
     out = df.orderBy(*order) if order else df
-    if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file; write part files instead")
-        out = out.coalesce(1)
     (
         out.write.mode("errorifexists")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "")
+        .option("emptyValue", '""')
         .csv(path)
     )
 
