@@ -28,8 +28,8 @@ from tidemark.session import stage_table
 
 #: Labelled rows the model is learnt from, and tokens of its lexicon (both are sent to every task).
 SAMPLE, LEXICON = 50_000, 20_000
-#: Prior count of every token, weight of the pooled prior in tokens, and the least z-score of a toxic token.
-FLAT, POOLED, LEAST_Z = 0.5, 500.0, 3.5
+#: Prior count of every token, weight of the pooled prior in tokens, and the least z-score and log-odds of a toxic token.
+FLAT, POOLED, LEAST_Z, LEAST_ODDS = 0.5, 500.0, 3.5, 2.0
 _FLUSH = 300_000
 # ASCII letters and digits and all bytes of other characters make tokens; anything else separates them.
 _TOKEN_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -104,7 +104,9 @@ def passages(docs: DataFrame, lexicon: dict[bytes, float], neutral: float, keep:
             for text in batch.column("text").to_pylist():
                 own = tokens(text)
                 sizes.append(len(own))
-                hits = [] if lexicon.keys().isdisjoint(own) else [(i, lexicon[w]) for i, w in enumerate(own) if w in lexicon]
+                hits = []
+                if not lexicon.keys().isdisjoint(own):  # a token right after itself adds nothing
+                    hits = [(i, lexicon[w]) for i, w in enumerate(own) if w in lexicon and (not i or own[i - 1] != w)]
                 segments.append([{"first": a, "last": b, "score": s} for a, b, s in maximal_segments(hits, neutral)])
             columns = [*(batch.column(c) for c in keep), pa.array(sizes, pa.int64()), pa.array(segments, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_tokens", "passages"])
@@ -176,7 +178,7 @@ def score(
     toxic, clean = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     toxic, clean = toxic or 0, clean or 0
     chosen = (
-        log_odds(counts, toxic, clean).where((F.col("z") >= LEAST_Z) & (F.col("score") > 0))
+        log_odds(counts, toxic, clean).where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_ODDS))
         .orderBy(F.desc("z"), "token").limit(LEXICON).select("token", "score", "toxic", "clean").collect()
     )
     lexicon = {bytes(r["token"]): r["score"] for r in chosen}
