@@ -71,9 +71,20 @@ def return_box_by_split(spark, sf_dir):
     return rounded(e.label_box(t.preds(spark, sf_dir), "split", "actual_return"), _BOX)
 
 
-@check("sentiment_box_approx")
+@check(
+    "sentiment_box_approx",
+    with_views("scored_moves", f"SELECT sentiment, count({_MOVE}) AS rows, true AS within FROM scored_moves GROUP BY sentiment"),
+)
 def sentiment_box_approx(spark, sf_dir):
-    return e.label_box_approx(t.scored_moves(spark, sf_dir), "sentiment", _MOVE)
+    """Sketched values whose rank is within one thousandth of all rows (or one row) of the rank asked for."""
+    moves = t.scored_moves(spark, sf_dir)
+    boxes = e.label_box_approx(moves, "sentiment", _MOVE)
+    within = F.lit(True)
+    for name, place in zip(_BOX, (0.0, 0.25, 0.5, 0.75, 1.0)):
+        wanted, slack = place * F.col("rows"), F.greatest(F.lit(1.0), F.col("rows") / 1000)
+        below, upto = F.count_if(F.col(_MOVE) < F.col(name)), F.count_if(F.col(_MOVE) <= F.col(name))
+        within = within & (below <= wanted + slack) & (upto >= wanted - slack)
+    return moves.join(boxes, "sentiment").groupBy("sentiment", "rows").agg(within.alias("within"))
 
 
 @check(

@@ -96,7 +96,7 @@ features AS (
   LEFT JOIN finbert_daily fb ON fb.symbol = spine.symbol AND fb.news_date = spine.feature_date)"""
 
 
-def features(spark, sf_dir):
+def features(spark, sf_dir, forecasts=None):
     """The feature set over the stand-in tables."""
     made = feature_set.point_in_time_features(
         t.bars(spark, sf_dir),
@@ -110,6 +110,7 @@ def features(spark, sf_dir):
             "finbert": (t.scored(spark, sf_dir), "confidence"),
         },
         cutoff=CUTOFF,
+        forecasts=forecasts,
     )
     return rounded(made, _SENTIMENT_AVERAGES)
 
@@ -130,6 +131,22 @@ check(
 )(features)
 
 
+@check(
+    "pit_feature_set_with_forecasts",
+    with_views(
+        f"{FEATURE_VIEWS} preds",
+        f"""SELECT {', '.join('f.' + c for c in s.FEATURE_SET_COLUMNS)}, p.predicted_return, p.predicted_price
+            FROM features f LEFT JOIN preds p USING (symbol, prediction_date)""",
+        FEATURE_CTES,
+    ),
+)
+def pit_feature_set_with_forecasts(spark, sf_dir):
+    """The feature set next to a forecast table with a split of its own and two rows for every key."""
+    forecasts = t.preds(spark, sf_dir).select("symbol", "prediction_date", "split", "predicted_return", "predicted_price")
+    worse = forecasts.withColumn("predicted_return", F.lit(None).cast("double")).withColumn("predicted_price", F.lit(None).cast("double"))
+    return features(spark, sf_dir, forecasts.unionByName(worse))
+
+
 @check("feature_spine", with_views("bars", "SELECT * FROM spine", _SPINE))
 def feature_spine(spark, sf_dir):
     return _spine(spark, sf_dir)

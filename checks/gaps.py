@@ -14,6 +14,7 @@ from tidemark.functions.text import SENTIMENT_TO_DIRECTION
 from tidemark.operators import diagnosis as d
 from tidemark.operators import evaluation as e
 from tidemark.operators import indicators as ind
+from tidemark.operators import modeling
 from tidemark.operators.series import ema, number_rows
 from tidemark.plans import ingest, reports
 
@@ -230,3 +231,23 @@ def forecast_dataset(spark, sf_dir):
         total(F.flatten("sequence")).alias("sequence_sum"), total(F.element_at("sequence", -1)).alias("last_step_sum"),
     )
     return rounded(rounded(rounded(made, ["forward_return"]), ["sequence_sum"], 4), ["last_step_sum"], 5)
+
+
+@check(
+    "sequence_forecast",
+    with_views(
+        "bars",
+        f"""SELECT symbol, bar_date AS prediction_date, target_date, split, true AS consistent
+            FROM whole WHERE symbol IN (SELECT symbol FROM whole GROUP BY symbol
+              HAVING count(*) FILTER (WHERE split = 'train') >= {s.MIN_TRAIN_ROWS}
+                AND count(*) FILTER (WHERE split = 'test') >= {s.MIN_TEST_ROWS})""",
+        _READY,
+        recursive=True,
+    ),
+)
+def sequence_forecast(spark, sf_dir):
+    """A forecast from all 32 indicators; the forecast price is the previous close times 1 + the forecast return."""
+    made = e.forecast_report(modeling.sequence_forecast(reports.forecast_dataset(t.stored_bars(spark, sf_dir), CUTOFF)))
+    price = F.col("prev_close") * (1 + F.col("predicted_return"))
+    consistent = F.abs(F.col("predicted_price") - price) <= 1e-9 * F.abs(price)
+    return made.select("symbol", "prediction_date", "target_date", "split", consistent.alias("consistent"))

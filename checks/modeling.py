@@ -493,7 +493,7 @@ def prompted_articles(spark, sf_dir):
     return made.drop("article_text", "reply")
 
 
-# --- fitted models: no SQL twin -------------------------------------------------------------------------------
+# --- fitted models: what SQL can state about them ---------------------------------------------------------------
 
 _MODEL_FEATURES = [*s.FINANCIAL_FEATURES, *s.MACRO_FEATURES, *s.SENTIMENT_FEATURES]
 
@@ -509,52 +509,82 @@ def _trees():
     return m.boosted_trees(s.TARGET, trees=3, depth=3)
 
 
-@check("gbt_predictions")
+@check(
+    "gbt_predictions",
+    _on_features(f"SELECT symbol, prediction_date, split, {s.TARGET}, true AS predicted FROM features WHERE {s.TARGET} IS NOT NULL"),
+)
 def gbt_predictions(spark, sf_dir):
+    """Every row with a target gets a number."""
     _, predicted = m.fit_and_predict(_training(spark, sf_dir), _trees())
-    return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, "predicted")
+    number = F.col("predicted").isNotNull() & ~F.isnan("predicted")
+    return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, number.alias("predicted"))
+
 
+_FOLD = "CAST(('0x' || substr(md5(concat_ws('|', symbol, CAST(prediction_date AS VARCHAR), '42')), 1, 2)) AS INT) % 5"
 
-@check("cv_scores")
+
+@check(
+    "cv_scores",
+    _on_features(
+        f"""SELECT {_FOLD} AS fold, count(*) AS n, true AS beats_nothing FROM features
+            WHERE split = 'train' AND {s.TARGET} IS NOT NULL GROUP BY 1"""
+    ),
+)
 def cv_scores(spark, sf_dir):
+    """Folds over the train rows; no fold is worse than twice the deviation of the target."""
     train = _training(spark, sf_dir).filter(F.col(s.SPLIT) == "train")
     per_fold = m.cross_validate(train, _trees(), s.TARGET, s.KEY_COLUMNS)
-    return m.cross_validation_summary(per_fold)
+    spread = train.agg(F.stddev_pop(s.TARGET)).scalar()
+    return per_fold.select("fold", "n", (F.col("rmse") <= 2 * spread).alias("beats_nothing"))
 
 
 _ABLATED = ["open", "volume", "vwap", "trade_count"]
 
 
-@check("ablation_attribution")
+_BAR_KEYS = "SELECT symbol, bar_date, {} FROM bars"
+
+
+@check(
+    "ablation_attribution",
+    with_views("bars", "SELECT symbol, bar_date, feature, true AS attributed FROM bars, (VALUES ('open'), ('volume'), ('vwap'), ('trade_count')) f(feature)"),
+)
 def ablation_attribution(spark, sf_dir):
     bars = t.stored_bars(spark, sf_dir)
     table = m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"])
     model = m.boosted_trees("close", trees=3, depth=3).fit(table)
-    return m.ablation_attributions(model, bars, ["symbol", "bar_date"], _ABLATED, m.feature_means(bars, _ABLATED))
+    made = m.ablation_attributions(model, bars, ["symbol", "bar_date"], _ABLATED, m.feature_means(bars, _ABLATED))
+    return made.select("symbol", "bar_date", "feature", F.col("attribution").isNotNull().alias("attributed"))
 
 
-@check("fitted_linear_attribution")
+@check("fitted_linear_attribution", with_views("bars", _BAR_KEYS.format("true AS adds_up")))
 def fitted_linear_attribution(spark, sf_dir):
     bars = t.stored_bars(spark, sf_dir)
     fitted = m.fit_linear(m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"]), "close")
     coefficients = dict(zip(_ABLATED, [float(b) for b in fitted.coefficients]))
-    return m.linear_attributions(bars, coefficients, m.feature_means(bars, _ABLATED))
-
-
-@check("sequence_forecast")
-def sequence_forecast(spark, sf_dir):
-    columns = ["sma_5", "rsi_14", "roc_5", "close_zscore"]
-    made = ind.drop_incomplete(ind.indicators(t.stored_bars(spark, sf_dir), features=columns, warmup=s.WARMUP_ROWS))
-    scaled = seq.minmax_by_key(made, ["symbol"], columns)
-    sequences = seq.sequences(scaled, [f"{c}_scaled" for c in columns])
-    labelled = seq.target_date_split(sequences, CUTOFF)
-    return e.forecast_report(m.sequence_forecast(labelled))
+    means = m.feature_means(bars, _ABLATED)
+    made = m.linear_attributions(bars, coefficients, means)
+    # The attributions of a row add up to its prediction minus the prediction at the mean.
+    predicted = sum((F.lit(b) * F.col(c) for c, b in coefficients.items()), F.lit(0.0))
+    at_mean = sum(b * means[c] for c, b in coefficients.items())
+    total = sum((F.col(f"shap_{c}") for c in _ABLATED), F.lit(0.0))
+    adds_up = F.abs(total - (predicted - at_mean)) <= 1e-6 * (1 + F.abs(predicted) + abs(at_mean))
+    return made.select("symbol", "bar_date", adds_up.alias("adds_up"))
 
 
-@check("text_classifier")
+@check(
+    "text_classifier",
+    with_views(
+        "exploded moves",
+        """SELECT DISTINCT e.id AS news_article_id, e.symbol, CAST(e.created_at AS DATE) AS news_date, true AS confident
+           FROM exploded e JOIN moves m ON e.symbol = m.symbol AND CAST(e.created_at AS DATE) = m.news_date
+           WHERE e.headline IS NOT NULL AND m.percent_daily_price_change IS NOT NULL""",
+    ),
+)
 def text_classifier(spark, sf_dir):
     articles = article_next_bar(t.news(spark, sf_dir), t.bars(spark, sf_dir), with_summary=True)
     labelled = splits.key_split(articles, ["news_article_id"]).withColumn(
         "price_class", price_class(F.col("percent_daily_price_change"))
     )
-    return m.text_classifier(labelled, "article_text", "price_class").drop("article_text")
+    made = m.text_classifier(labelled, "article_text", "price_class")
+    confident = F.col("confidence").between(1 / 3, 1) & F.col("prediction").isin(0.0, 1.0, 2.0)
+    return made.select("news_article_id", "symbol", "news_date", confident.alias("confident")).distinct()

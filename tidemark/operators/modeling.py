@@ -211,11 +211,11 @@ def text_classifier(
 ) -> DataFrame:
     """Class-weighted linear text classifier: fit on train rows, (probability, prediction) for all rows."""
     known = articles.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
-    # One number per class: a literal map instead of a join on a key with very few, very large values.
+    known = stage_table(known.withColumn(label, F.col(label).cast("double")), "texts")
+    # A class number and its weight per row: the number of classes is what the classifier has outputs for.
     weights = class_weights(known.filter(F.col(split) == "train"), label).select(label, "weight").collect()
     lookup = F.create_map(*[F.lit(v) for row in weights for v in (row[label], row["weight"])])
-    weighted = known.withColumn("weight", F.coalesce(F.try_element_at(lookup, F.col(label)), F.lit(0.0)))
-    table = stage_table(weighted.withColumn(label, F.col(label).cast("double")), "texts")
+    table = known.withColumn("weight", F.coalesce(F.try_element_at(lookup, F.col(label)), F.lit(0.0)))
     pipeline = Pipeline(
         stages=[
             Tokenizer(inputCol=text, outputCol="_words"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as s
 from tidemark.functions.market import availability_date, daily_move, split_label
+from tidemark.operators.asof import latest_per_key
 from tidemark.operators.financials import combined_statements, latest_financials
 from tidemark.operators.macro import pivot_series, series_features, vintages_as_of
 from tidemark.operators.news import label_counts
@@ -65,7 +66,8 @@ def point_in_time_features(
     per join key, so joins keep the bars as they are and the result is distinct because the spine is.
     ``forecasts`` (symbol, prediction_date, ...) is an optional extra left join.
     """
-    spine = feature_spine(bars, day, calendar)
+    # Read for the rows and for the days of the macro series.
+    spine = stage_table(feature_spine(bars, day, calendar), "spine")
     # Narrow joins first: the 79 statement and macro columns are attached last and are never shuffled.
     joined = spine
     for prefix in s.SENTIMENT_PREFIXES:
