@@ -238,7 +238,9 @@ def keep(docs: DataFrame, rules: list[Rule], text_column: str = "text") -> DataF
     """The rows of ``docs`` that neither the base rules nor the list reject, unchanged."""
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     rows = _statistics(docs.select(F.struct("*").alias("_row"), text.alias("text")), "_row")
-    return apply(rows, rules).where("kept").select("_row.*")
+    # A filter over a plain column stays above the statistics; pushed below them it would repeat each in every condition.
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    return apply(rows, rules).where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
