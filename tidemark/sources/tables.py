@@ -24,6 +24,10 @@ MULTI_LINE_TABLES = {
 }
 
 
+# Stands for what lies between two separators; with the default, an empty text in quotes would become null as well.
+_NO_VALUE = "\u0001"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -32,12 +36,13 @@ def read_csv(
     clean_names: bool = False,
     view: str | None = None,
 ) -> DataFrame:
-    """CSV with header and ``"`` as quote and escape. The schema is given, so no pass is spent on inference."""
+    """CSV with header and ``"`` as quote and escape; nothing is null, ``""`` an empty text. The schema is given, so no pass is spent on inference."""
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", _NO_VALUE)
         .option("multiLine", multi_line)
         .csv(path)
     )
