@@ -38,3 +38,12 @@ def test_forecast_plans(spark):
     assert made.filter((F.col("split") == "train") != (F.col("target_date") < "2000-07-01")).count() == 0
     tables = {n: d.count() for n, d in reports.forecast_tables(standin.preds(spark, SF_DIR)).items()}
     assert tables["top_bottom"] == 10 and tables["mean_accuracy"] == 1
+
+
+def test_forecast_dataset_reads_its_stage_twice_and_joins_no_arrays(spark):
+    made = reports.forecast_dataset(standin.stored_bars(spark, SF_DIR), "2000-07-01")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # the ordered rows: for the aggregate per key, and as rows
+    assert plan.count("Exchange") <= 5
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "sequence" not in joins[0]
