@@ -124,6 +124,28 @@ SELECT coalesce(s.conv_id, a.conv_id) AS conv_id, coalesce(s.call_id, a.call_id)
 FROM steps s FULL JOIN answers a ON s.conv_id = a.conv_id AND s.call_id = a.call_id
 """
 
+OP4_SQL = """
+WITH texts AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS w
+    FROM texts, unnest(range(1, greatest(1, len(ws) - 33))) AS t(i)
+), hits AS (
+    SELECT doc_id, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT doc_id, i + k AS p FROM hits, range(35) AS r(k)
+), words AS (
+    SELECT doc_id, p, ws[p] AS word FROM texts, unnest(range(1, len(ws) + 1)) AS t(p)
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words
+    FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words, CAST(len(t.ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.words, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
 QUERIES = {
     "op1_block_matrix_neighbours": op1_block_matrix_neighbours,
     "op10_personal_data": op10_personal_data,
@@ -136,4 +158,4 @@ QUERIES = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
 }
-SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL, "op2_tool_calls": OP2_SQL}
+SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL, "op2_tool_calls": OP2_SQL, "op4_repeated_passages": OP4_SQL}
