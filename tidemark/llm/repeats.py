@@ -276,7 +276,8 @@ def kept_words(
     ``kept`` is the text of the words that stay, joined by one space."""
     classes = _class_table(docs, id_column, text_column)
     rows = stage_table(_anchor_rows(classes, width, prefix), "anchors")
-    repeated = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # A table of its own, so that a prefix with very many anchors can be split in the join.
+    repeated = stage_table(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-prefixes")
     rows = stage_table(rows.join(repeated, "h"), "repeated-anchors")
     different = rows.groupBy("h", "around").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("first"))
     different = stage_table(different.select("h", "around", "n", "first.*"), "surroundings")
