@@ -498,17 +498,25 @@ def prompted_articles(spark, sf_dir):
 _MODEL_FEATURES = [*s.FINANCIAL_FEATURES, *s.MACRO_FEATURES, *s.SENTIMENT_FEATURES]
 
 
-def _training(spark, sf_dir):
+def _known(spark, sf_dir):
     table = stage_table(features(spark, sf_dir), "features")
     ranges = m.fit_minmax(table.filter(F.col("split") == "train"), _MODEL_FEATURES)
-    known = m.apply_minmax(table, ranges).filter(F.col(s.TARGET).isNotNull())
-    return m.training_table(known, _MODEL_FEATURES, [*s.KEY_COLUMNS, s.TARGET, s.SPLIT])
+    return m.apply_minmax(table, ranges).filter(F.col(s.TARGET).isNotNull())
+
+
+def _training(spark, sf_dir):
+    return m.training_table(_known(spark, sf_dir), _MODEL_FEATURES, [*s.KEY_COLUMNS, s.TARGET, s.SPLIT])
 
 
 def _trees():
     return m.boosted_trees(s.TARGET, trees=3, depth=3)
 
 
+def _reference_trees():
+    """100 trees of depth 6, for the queries that return what the model says."""
+    return m.boosted_trees(s.TARGET)
+
+
 @check(
     "gbt_predictions",
     _on_features(f"SELECT symbol, prediction_date, split, {s.TARGET}, true AS predicted FROM features WHERE {s.TARGET} IS NOT NULL"),
@@ -553,7 +561,20 @@ def ablation_attribution(spark, sf_dir):
     table = m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"])
     model = m.boosted_trees("close", trees=3, depth=3).fit(table)
     made = m.ablation_attributions(model, bars, ["symbol", "bar_date"], _ABLATED, m.feature_means(bars, _ABLATED))
-    return made.select("symbol", "bar_date", "feature", F.col("attribution").isNotNull().alias("attributed"))
+    # Not isNotNull(): the difference is never null, so Spark would score no row.
+    number = F.abs("attribution") < F.lit(float("inf"))
+    return made.select("symbol", "bar_date", "feature", number.alias("attributed"))
+
+
+@check("ablation_attribution_values")
+def ablation_attribution_values(spark, sf_dir):
+    """The attributions themselves, over all model features, of the trees of the reference."""
+    known = stage_table(_known(spark, sf_dir), "known")
+    table = m.training_table(known, _MODEL_FEATURES, [*s.KEY_COLUMNS, s.TARGET, s.SPLIT])
+    train = F.col(s.SPLIT) == "train"
+    model = _reference_trees().fit(table.filter(train))
+    means = m.feature_means(known.filter(train), _MODEL_FEATURES)
+    return m.ablation_attributions(model, known, s.KEY_COLUMNS, _MODEL_FEATURES, means)
 
 
 @check("fitted_linear_attribution", with_views("bars", _BAR_KEYS.format("true AS adds_up")))
