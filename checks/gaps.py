@@ -233,6 +233,12 @@ def forecast_dataset(spark, sf_dir):
     return rounded(rounded(rounded(made, ["forward_return"]), ["sequence_sum"], 4), ["last_step_sum"], 5)
 
 
+@check("sequence_forecast_values")
+def sequence_forecast_values(spark, sf_dir):
+    """The forecast return and price themselves."""
+    return e.forecast_report(modeling.sequence_forecast(reports.forecast_dataset(t.stored_bars(spark, sf_dir), CUTOFF)))
+
+
 @check(
     "sequence_forecast",
     with_views(
@@ -247,7 +253,7 @@ def forecast_dataset(spark, sf_dir):
 )
 def sequence_forecast(spark, sf_dir):
     """A forecast from all 32 indicators; the forecast price is the previous close times 1 + the forecast return."""
-    made = e.forecast_report(modeling.sequence_forecast(reports.forecast_dataset(t.stored_bars(spark, sf_dir), CUTOFF)))
+    made = sequence_forecast_values(spark, sf_dir)
     price = F.col("prev_close") * (1 + F.col("predicted_return"))
     consistent = F.abs(F.col("predicted_price") - price) <= 1e-9 * F.abs(price)
     return made.select("symbol", "prediction_date", "target_date", "split", consistent.alias("consistent"))

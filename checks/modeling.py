@@ -528,6 +528,13 @@ def gbt_predictions(spark, sf_dir):
     return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, number.alias("predicted"))
 
 
+@check("gbt_prediction_values")
+def gbt_prediction_values(spark, sf_dir):
+    """The predictions themselves, of the trees of the reference."""
+    _, predicted = m.fit_and_predict(_training(spark, sf_dir), _reference_trees())
+    return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, "predicted")
+
+
 _FOLD = "CAST(('0x' || substr(md5(concat_ws('|', symbol, CAST(prediction_date AS VARCHAR), '42')), 1, 2)) AS INT) % 5"
 
 
@@ -546,6 +553,14 @@ def cv_scores(spark, sf_dir):
     return per_fold.select("fold", "n", (F.col("rmse") <= 2 * spread).alias("beats_nothing"))
 
 
+@check("cv_score_values")
+def cv_score_values(spark, sf_dir):
+    """Scores of each fold, of the trees of the reference, each row with their mean and deviation over the folds."""
+    train = _training(spark, sf_dir).filter(F.col(s.SPLIT) == "train")
+    per_fold = stage_table(m.cross_validate(train, _reference_trees(), s.TARGET, s.KEY_COLUMNS), "fold-scores")
+    return per_fold.crossJoin(m.cross_validation_summary(per_fold))
+
+
 _ABLATED = ["open", "volume", "vwap", "trade_count"]
 
 
@@ -577,13 +592,23 @@ def ablation_attribution_values(spark, sf_dir):
     return m.ablation_attributions(model, known, s.KEY_COLUMNS, _MODEL_FEATURES, means)
 
 
-@check("fitted_linear_attribution", with_views("bars", _BAR_KEYS.format("true AS adds_up")))
-def fitted_linear_attribution(spark, sf_dir):
+def _linear(spark, sf_dir):
     bars = t.stored_bars(spark, sf_dir)
     fitted = m.fit_linear(m.training_table(bars, _ABLATED, ["symbol", "bar_date", "close"]), "close")
     coefficients = dict(zip(_ABLATED, [float(b) for b in fitted.coefficients]))
     means = m.feature_means(bars, _ABLATED)
-    made = m.linear_attributions(bars, coefficients, means)
+    return m.linear_attributions(bars, coefficients, means), coefficients, means
+
+
+@check("fitted_linear_attribution_values")
+def fitted_linear_attribution_values(spark, sf_dir):
+    """The attributions themselves."""
+    return _linear(spark, sf_dir)[0]
+
+
+@check("fitted_linear_attribution", with_views("bars", _BAR_KEYS.format("true AS adds_up")))
+def fitted_linear_attribution(spark, sf_dir):
+    made, coefficients, means = _linear(spark, sf_dir)
     # The attributions of a row add up to its prediction minus the prediction at the mean.
     predicted = sum((F.lit(b) * F.col(c) for c, b in coefficients.items()), F.lit(0.0))
     at_mean = sum(b * means[c] for c, b in coefficients.items())
@@ -592,6 +617,20 @@ def fitted_linear_attribution(spark, sf_dir):
     return made.select("symbol", "bar_date", adds_up.alias("adds_up"))
 
 
+def _classified(spark, sf_dir):
+    articles = article_next_bar(t.news(spark, sf_dir), t.bars(spark, sf_dir), with_summary=True)
+    labelled = splits.key_split(articles, ["news_article_id"]).withColumn(
+        "price_class", price_class(F.col("percent_daily_price_change"))
+    )
+    return m.text_classifier(labelled, "article_text", "price_class")
+
+
+@check("text_classifier_values")
+def text_classifier_values(spark, sf_dir):
+    """Class and confidence of every row."""
+    return _classified(spark, sf_dir).drop("article_text")
+
+
 @check(
     "text_classifier",
     with_views(
@@ -602,10 +641,6 @@ def fitted_linear_attribution(spark, sf_dir):
     ),
 )
 def text_classifier(spark, sf_dir):
-    articles = article_next_bar(t.news(spark, sf_dir), t.bars(spark, sf_dir), with_summary=True)
-    labelled = splits.key_split(articles, ["news_article_id"]).withColumn(
-        "price_class", price_class(F.col("percent_daily_price_change"))
-    )
-    made = m.text_classifier(labelled, "article_text", "price_class")
+    made = _classified(spark, sf_dir)
     confident = F.col("confidence").between(1 / 3, 1) & F.col("prediction").isin(0.0, 1.0, 2.0)
     return made.select("news_article_id", "symbol", "news_date", confident.alias("confident")).distinct()

@@ -72,3 +72,18 @@ def test_ablation_values_equal_the_printed_trees(spark, monkeypatch):
         for i, c in enumerate(names):
             swapped = [*x[:i], held["means"][c], *x[i + 1 :]]
             assert found[(*[r[k] for k in keys], c)] == pytest.approx(base - printed_prediction(held["model"], swapped), abs=1e-9)
+
+
+def test_other_models_return_their_values(spark, monkeypatch):
+    monkeypatch.setattr(modeling, "_reference_trees", lambda: m.boosted_trees(modeling.s.TARGET, trees=1, depth=2))
+    monkeypatch.setattr(modeling, "_training", lambda *_, table=modeling._training(spark, SF_DIR): table)
+    for name, columns in {
+        "gbt_prediction_values": ["predicted"],
+        "cv_score_values": ["rmse", "mae", "r2", "rmse_mean", "rmse_std"],
+        "fitted_linear_attribution_values": [f"shap_{c}" for c in modeling._ABLATED],
+        "text_classifier_values": ["prediction", "confidence"],
+        "sequence_forecast_values": ["predicted_return", "predicted_price"],
+    }.items():
+        made = query(name)(spark, SF_DIR)
+        found = made.agg(*[F.count(c).alias(c) for c in columns], F.count("*").alias("rows"), F.count_distinct(columns[0]).alias("several")).first()
+        assert all(found[c] == found["rows"] > 0 for c in columns) and found["several"] > 1, name
