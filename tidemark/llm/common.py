@@ -41,3 +41,31 @@ def word_array(text):
 def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
     for name in names:
         yield batch.column(name).to_pylist()
+
+
+class Recent:
+    """What a worker has found out about texts, by text: two generations, so that at least the newest half stays known.
+
+    ``limit`` bounds the characters of a generation.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old, self.size = limit, {}, {}, 0
+
+    def missing(self, wanted: set) -> list:
+        """Those of ``wanted`` that are not known; all others are in ``young`` afterwards."""
+        if self.size > self.limit:
+            self.old, self.young, self.size = self.young, {}, 0
+        unknown, young, before = [], self.young, self.old.get
+        for key in wanted.difference(young):
+            found = before(key)
+            if found is None:
+                unknown.append(key)
+            else:
+                young[key] = found
+                self.size += len(key)
+        return unknown
+
+    def put(self, key, value, size: int) -> None:
+        self.young[key] = value
+        self.size += size

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, neighbours, packing, pii, quality_model, repeats, rules, simhash, tool_calls, toxicity
+from tidemark.llm import (
+    bpe,
+    neighbours,
+    packing,
+    pii,
+    prefix_trie,
+    quality_model,
+    repeats,
+    rules,
+    sentencepieces,
+    simhash,
+    tool_calls,
+    toxicity,
+    whitening,
+)
 from tidemark.llm.common import read
 
 
@@ -78,6 +92,26 @@ def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = prefix_trie.numbered(read(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, conversations, F.col("conv_id") - F.col("conv_id") % 100, head))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepieces.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 OP1_SQL = """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
@@ -146,7 +180,52 @@ SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words, CAST(len(t.ws) - coalesce
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """
 
+#: crc32 byte by byte: eight shifts for each digit of the id.
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substring(CAST(conv_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))),
+    lambda c, d: list_reduce(list_concat([xor(c, d)], list_transform(range(8), lambda k: CAST(0 AS BIGINT))),
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || ':' || t)) - 1 AS at,
+           r || chr(1) || t AS said, CAST(length(t) AS BIGINT) AS chars
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL) x
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns) c
+), parts AS (
+    SELECT c.conv_id, 0 AS own, t.at, t.said, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.at < c.h
+    UNION ALL SELECT c.conv_id, 1, t.at, t.said, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.at >= c.h
+), rebuilt AS (
+    SELECT c.conv_id, coalesce(list(p.said ORDER BY p.own, p.at) FILTER (WHERE p.said IS NOT NULL), []) AS said,
+           coalesce(list(p.chars ORDER BY p.own, p.at) FILTER (WHERE p.said IS NOT NULL), []) AS chars
+    FROM convs c LEFT JOIN parts p ON p.conv_id = c.conv_id GROUP BY c.conv_id
+), members AS (
+    SELECT conv_id, CAST(d AS BIGINT) AS depth, said[1:d] AS prefix, coalesce(chars[d], 0) AS chars, d = len(said) AS last
+    FROM rebuilt, unnest(range(0, len(said) + 1)) AS r(d)
+), nodes AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+    FROM members GROUP BY prefix, depth
+), kids AS (
+    SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), below AS (
+    SELECT n.prefix[1:d] AS prefix, d AS depth, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves,
+           sum((n.n_convs - 1) * n.chars) AS saved
+    FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix AND k.depth = n.depth, unnest(range(0, n.depth + 1)) AS r(d)
+    GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.prefix = n.prefix AND b.depth = n.depth
+    LEFT JOIN kids k ON k.prefix = n.prefix AND k.depth = n.depth
+    LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1] AND p.depth = n.depth - 1
+"""
+
 QUERIES = {
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_cholesky_whitening": op13_cholesky_whitening,
     "op1_block_matrix_neighbours": op1_block_matrix_neighbours,
     "op10_personal_data": op10_personal_data,
     "op2_tool_calls": op2_tool_calls,
@@ -158,4 +237,9 @@ QUERIES = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
 }
-SQL: dict[str, str] = {"op1_block_matrix_neighbours": OP1_SQL, "op2_tool_calls": OP2_SQL, "op4_repeated_passages": OP4_SQL}
+SQL: dict[str, str] = {
+    "op1_block_matrix_neighbours": OP1_SQL,
+    "op2_tool_calls": OP2_SQL,
+    "op4_repeated_passages": OP4_SQL,
+    "op11_prefix_trie": OP11_SQL,
+}
