@@ -61,7 +61,7 @@ def test_rules_on_labels(tables):
     count = Counter((r["quality"], r["kept"]) for r in rows)
     assert count[0, False] >= 0.9 * (count[0, False] + count[0, True])
     assert count[1, False] <= 0.01 * (count[1, False] + count[1, True])
-    kept = rules.keep(docs, learnt)
+    kept = rules.keep(rules.described(docs), learnt)
     assert kept.columns == docs.columns
     assert kept.count() == rules.apply(stats, learnt).where("kept").count()
 

@@ -80,6 +80,7 @@ def test_query_equals_the_library(spark, library):
 def test_recent_keeps_what_is_used():
     known = Recent(10)
     for turn in range(20):
+        known.turn()
         for word in known.missing({"always", f"word {turn}"}):
             known.put(word, word.upper(), len(word))
             assert word != "always" or turn == 0

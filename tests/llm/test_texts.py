@@ -7,6 +7,7 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
@@ -54,6 +55,16 @@ def test_bpe_equals_the_library(texts):
     assert [np.frombuffer(x, np.int32).tolist() for x in ranks.encode(texts)] == [own.encode_ordinary(t) for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(ODD, min_size=1, max_size=6))
+def test_bpe_of_batches_equals_the_library(texts):
+    ranks = bpe.encoder(RANKS, PATTERN)
+    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks.ranks, special_tokens={})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    found = {k: ids[a:b].tolist() for rows, ids, at in bpe._encoded(ranks, batch) for k, a, b in zip(rows.to_pylist(), at, at[1:])}
+    assert [found[k] for k in range(len(texts))] == [own.encode_ordinary(t) for t in texts]
+
+
 def test_bpe_of_long_matches(reference):
     own = bpe.encoder(RANKS, PATTERN)
     for text in ("a" * 30_000, "ab" * 20_000, "th" * 5_000 + "é" * 5_000, "=" * 9_999):
@@ -62,6 +73,7 @@ def test_bpe_of_long_matches(reference):
 
 def test_bpe_round_trip_of_every_row(docs, rows, reference):
     found = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN).collect()
+    assert sorted(map(str, found)) == sorted(map(str, bpe.round_trip(docs, RANKS, PATTERN).collect()))
     expected = Counter((r[0], tuple(reference.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in found) == expected
 
@@ -70,8 +82,9 @@ def test_bpe_round_trip_of_every_row(docs, rows, reference):
 @given(st.lists(ODD, max_size=4))
 def test_words_equal_the_tokenizer(texts):
     whole = whole_tokenizer()
-    own = packing.words_of(WORD_FILE).encode([t.encode() for t in texts])
-    assert [np.frombuffer(x, np.uint32).tolist() for x in own] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, bounds = packing.words_of(WORD_FILE).encode(pa.array(texts, pa.string()))
+    own = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert own == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_pieces_and_places(docs, rows):

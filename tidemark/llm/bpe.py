@@ -22,13 +22,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import texts_of
+from tidemark.llm.common import Recent, distinct_parts, split_rows, taken, texts_of
 
-#: Characters of the chunks and matches a worker remembers; beyond that it starts anew. It only saves time.
-CACHE_CHARS = 8_000_000
+#: Characters of the chunks, and of the matches, that a worker remembers. It only saves time.
+CACHE_CHARS = 4_000_000
+
+
+#: Places where a space is not a single one between two words, so a text is not simply cut at its spaces.
+UNEVEN = r"\s | \s|\s$|^\s"
 
 
 class Encoder:
@@ -53,16 +58,22 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         # Matches never reach over the point between a non-space and a space that a non-space follows, so what lies between
         # two such points can be encoded, and remembered, on its own.
-        self.uneven = regex.compile(r"\s | \s|\s$|^\s")
+        self.uneven = regex.compile(UNEVEN)
         self.chunk = regex.compile(r"\s*\S+|\s+")
+        # The rank of what two neighbouring tokens make, by both ranks packed into one number.
+        self.of_pair: dict[int, int] = {}
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                left, right = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                if left is not None and right is not None:
+                    self.of_pair[left << 32 | right] = rank
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         # Packed 32-bit ids by chunk and by match.
-        self.chunks: dict[str, bytes] = {}
-        self.matches: dict[str, bytes] = {}
-        self.remembered = 0
+        self.chunks, self.matches = Recent(CACHE_CHARS), Recent(CACHE_CHARS)
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of each piece. The queue's steps are written out: a call for each would take most of the time."""
-        rank_of = self.ranks.get
+        made_of = self.of_pair.get
         data = b"".join(pieces)
         total = len(data)
         edge = bytearray(total + 1)  # 1 where a piece begins, and at the end
@@ -77,7 +88,7 @@ class Encoder:
         codes = np.frombuffer(data, np.uint8).astype(np.int32)
         first = np.full(total, -1, np.int32)
         first[:-1] = np.where(np.frombuffer(edge, np.uint8)[1:total] == 0, self.of_two[codes[:-1] << 8 | codes[1:]], -1)
-        pair = first.tolist()
+        pair, token = first.tolist(), self.of_byte[codes].tolist()
         low, mid, top = [0] * ((self.top_rank >> 6) + 1), [0] * ((self.top_rank >> 12) + 1), 0
         order = np.argsort(first, kind="stable")
         order = order[first[order] >= 0]
@@ -104,9 +115,10 @@ class Encoder:
                 j = end[i]
                 k = end[i] = end[j]
                 pair[j] = pair[i] = -1
+                token[i] = rank
                 if not edge[i]:
                     p = before[i]
-                    pair[p] = made = rank_of(data[p:k], -1)
+                    pair[p] = made = made_of(token[p] << 32 | rank, -1)
                     if made in buckets:
                         heappush(buckets[made], p)
                         lower = made < rank
@@ -118,7 +130,7 @@ class Encoder:
                         lower = made < rank
                 if not edge[k]:
                     before[k] = i
-                    pair[i] = made = rank_of(data[i : end[k]], -1)
+                    pair[i] = made = made_of(rank << 32 | token[k], -1)
                     if made in buckets:
                         heappush(buckets[made], i)
                         lower = lower or made < rank
@@ -139,7 +151,7 @@ class Encoder:
         for piece in pieces:
             ids, stop = [], at + len(piece)
             while at < stop:
-                ids.append(rank_of(data[at : end[at]]))
+                ids.append(token[at])
                 at = end[at]
             found.append(array("i", ids).tobytes())
         return found
@@ -149,32 +161,50 @@ class Encoder:
             return self.chunk.findall(text)
         return [text[:at] if (at := text.find(" ")) >= 0 else text, *[" " + w for w in text.split(" ")[1:]]] if text else []
 
-    def learn(self, texts: Iterable[list[str]]) -> None:
-        """Remember the ids of all chunks of ``texts``."""
-        if self.remembered > CACHE_CHARS:
-            self.chunks.clear()
-            self.matches.clear()
-            self.remembered = 0
-        missing = list(set(chain.from_iterable(texts)).difference(self.chunks))
+    def learn(self, missing: list[str]) -> None:
+        """Remember the ids of chunks."""
         parts = [self.pattern.findall(chunk) for chunk in missing]
-        unknown = list(set(chain.from_iterable(parts)).difference(self.matches))
-        self.remembered += sum(map(len, missing)) + sum(map(len, unknown))
+        unknown = self.matches.missing(set(chain.from_iterable(parts)))
         coded = [match.encode() for match in unknown]
         whole = [self.ranks.get(code) for code in coded]  # a match that is a token stays one, whatever the merges
         merged = iter(self.merge([code for code, rank in zip(coded, whole) if rank is None]))
         for match, rank in zip(unknown, whole):
-            self.matches[match] = next(merged) if rank is None else array("i", [rank]).tobytes()
-        of = self.matches.__getitem__
+            self.matches.put(match, next(merged) if rank is None else array("i", [rank]).tobytes(), len(match))
+        of = self.matches.young.__getitem__
         for chunk, part in zip(missing, parts):
-            self.chunks[chunk] = b"".join(map(of, part))
+            self.chunks.put(chunk, b"".join(map(of, part)), len(chunk))
+
+    def known(self, chunks: list[str]) -> list[bytes]:
+        """Packed 32-bit ids of different chunks."""
+        self.chunks.turn()
+        self.matches.turn()
+        missing = self.chunks.missing(set(chunks))
+        if missing:
+            self.learn(missing)
+        return list(map(self.chunks.young.__getitem__, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed 32-bit ids of each text."""
         cut = [self.cut(text or "") for text in texts]
-        self.learn(cut)
-        of = self.chunks.__getitem__
+        different = list(set(chain.from_iterable(cut)))
+        of = dict(zip(different, self.known(different))).__getitem__
         return [b"".join(map(of, chunks)) for chunks in cut]
 
+    def encode_even(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without :data:`UNEVEN` places end to end, and the bounds of each text's.
+
+        Their words are cut by Arrow, and only different ones reach Python; all but the first begin with the space before.
+        """
+        words, order, bounds = distinct_parts(pc.split_pattern(texts, " "))
+        first, count = bounds[:-1], len(words)
+        # The first words of texts are chunks of their own, without a space.
+        opening = order[first]
+        opened, place = np.unique(opening, return_inverse=True)
+        order = order.copy()
+        order[first] = count + place
+        chunks = [" " + word for word in words] + [words[k] for k in opened.tolist()]
+        return taken(self.known(chunks), order, bounds)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the tokens of ``ids``, taken from all tokens laid end to end."""
         sizes = self.token_sizes[ids]
@@ -189,6 +219,24 @@ def encoder(rank_file: str, pattern: str) -> Encoder:
     return Encoder(rank_file, pattern)
 
 
+def _encoded(own: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(doc_id, ids end to end, bounds) of the rows of a batch, in one or two parts."""
+    even, uneven = split_rows(batch, UNEVEN.replace(r"\s", r"[\t-\r\x1c-\x20\x{85}\pZ]"))  # what \s is in the pattern
+    if even.num_rows:
+        yield even.column("doc_id"), *own.encode_even(even.column("text"))
+    if uneven.num_rows:
+        packed = own.encode(uneven.column("text").to_pylist())
+        yield uneven.column("doc_id"), *taken(packed, np.arange(len(packed)), np.arange(len(packed) + 1))
+
+
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+
+
+def _schema(rows: DataFrame) -> str:
+    return f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>"
+
+
 def encode(
     docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -197,14 +245,27 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(rank_file, pattern)
         for batch in batches:
-            ids = own.encode(batch.column("text").to_pylist())
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
+            for rows, ids, bounds in _encoded(own, batch):
+                yield pa.RecordBatch.from_arrays([rows, _lists(ids, bounds)], names=["doc_id", "ids"])
 
     rows = texts_of(docs, id_column, text_column)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return rows.mapInArrow(run, _schema(rows))
+
+
+def round_trip(
+    docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded`` (binary): what :func:`decode` gives for :func:`encode`, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(rank_file, pattern)
+        for batch in batches:
+            for rows, ids, bounds in _encoded(own, batch):
+                texts = pa.array([own.decode(ids[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows, _lists(ids, bounds), texts], names=["doc_id", "ids", "decoded"])
+
+    rows = texts_of(docs, id_column, text_column)
+    return rows.mapInArrow(run, _schema(rows) + ", decoded binary")
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +54,13 @@ class Recent:
     def __init__(self, limit: int):
         self.limit, self.young, self.old, self.size = limit, {}, {}, 0
 
-    def missing(self, wanted: set) -> list:
-        """Those of ``wanted`` that are not known; all others are in ``young`` afterwards."""
+    def turn(self) -> None:
+        """Begin a new generation once the present one is full. Between two calls nothing is forgotten."""
         if self.size > self.limit:
             self.old, self.young, self.size = self.young, {}, 0
+
+    def missing(self, wanted: set) -> list:
+        """Those of ``wanted`` that are not known; all others are in ``young`` afterwards."""
         unknown, young, before = [], self.young, self.old.get
         for key in wanted.difference(young):
             found = before(key)
@@ -69,3 +74,34 @@ class Recent:
     def put(self, key, value, size: int) -> None:
         self.young[key] = value
         self.size += size
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """Parts of batches, for work that holds several copies of the texts at hand."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def distinct_parts(parts: pa.ListArray) -> tuple[list, np.ndarray, np.ndarray]:
+    """The different values of a column of lists, the number of each list entry's value, and where each list begins and ends."""
+    coded = parts.flatten().dictionary_encode()
+    offsets = parts.offsets.to_numpy()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), offsets - offsets[0]
+
+
+def taken(packed: list[bytes], order: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit numbers of ``packed[i] for i in order`` end to end, and where the entries that begin at ``bounds`` begin in them."""
+    flat = np.frombuffer(b"".join(packed), np.int32)
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+    starts = np.cumsum(sizes) - sizes
+    own = sizes[order]
+    ends = np.cumsum(own)
+    moved = np.repeat(starts[order] - (ends - own), own)
+    return flat[moved + np.arange(len(moved))], np.append(0, ends)[bounds]
+
+
+def split_rows(batch: pa.RecordBatch, pattern: str) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Rows whose ``text`` does not match the pattern, and those that do."""
+    found = pc.match_substring_regex(batch.column("text"), pattern)
+    return batch.filter(pc.invert(found)), batch.filter(found)

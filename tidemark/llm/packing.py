@@ -20,20 +20,23 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts_of
+from tidemark.llm.common import Recent, distinct_parts, taken, texts_of
 from tidemark.session import stage_table
 
 #: Sequences a group holds on average; the open ones at its end are all it wastes.
 GROUP_SEQUENCES = 4096
-#: Words a worker remembers the ids of; beyond that it starts anew. It only saves time.
-CACHE_WORDS = 700_000
+#: Characters of the words a worker remembers the ids of. It only saves time.
+CACHE_CHARS = 5_000_000
 
 
 # A word that ends in marks after an ASCII letter or digit: the tokenizer cuts there, so both parts can be encoded alone.
-_MARKED = re.compile(rb"(.*[A-Za-z0-9])([.,;:!?*#$%&]+)", re.DOTALL)
+_MARKED = re.compile(r"(.*[A-Za-z0-9])([.,;:!?*#$%&]+)", re.DOTALL)
+# Stands between words that are encoded as one text, for a mark by itself is one token; words with it are encoded alone.
+_BETWEEN = "|"
 
 
 class Words:
@@ -44,29 +47,42 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        missing = words.difference(self.known)
-        marked = {word: found.groups() for word in missing if (found := _MARKED.fullmatch(word))}
-        missing.difference_update(marked)
-        missing.update(part for parts in marked.values() for part in parts if part not in self.known)
-        plain = list(missing)
-        for start in range(0, len(plain), 4096):
-            part = plain[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, array("I", x.ids).tobytes()) for w, x in zip(part, found))
-        of = self.known.__getitem__
-        self.known.update((word, of(stem) + of(marks)) for word, (stem, marks) in marked.items())
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        words = [text.split() for text in texts]
-        self.learn(set().union(*words))
-        of = self.known.__getitem__
-        return [b"".join(map(of, own)) for own in words]
+        (self.between,) = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.known = Recent(CACHE_CHARS)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        marked = {word: found.groups() for word in words if (found := _MARKED.fullmatch(word))}
+        plain = set(words).difference(marked)
+        plain.update(self.known.missing({part for parts in marked.values() for part in parts}))
+        alone = [word for word in plain if _BETWEEN in word]
+        plain = list(plain.difference(alone))
+        for word, ids in zip(alone, self.ids(alone)):
+            self.known.put(word, array("I", ids).tobytes(), len(word))
+        lines = [plain[k : k + 64] for k in range(0, len(plain), 64)]
+        for start in range(0, len(lines), 64):
+            part = lines[start : start + 64]
+            for line, ids in zip(part, self.ids([f" {_BETWEEN} ".join(line) for line in part])):
+                ids = np.array(ids, "<u4")
+                cuts = np.flatnonzero(ids == self.between)
+                packed = ids.tobytes()
+                for word, first, stop in zip(line, [-4, *(4 * cuts).tolist()], [*(4 * cuts).tolist(), len(packed)]):
+                    self.known.put(word, packed[first + 4 : stop], len(word))
+        of = self.known.young.__getitem__
+        for word, (stem, marks) in marked.items():
+            self.known.put(word, of(stem) + of(marks), len(word))
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the bounds of each text's."""
+        # ASCII letters are lowered at once: fewer different words, and the tokenizer lowers them anyway.
+        words, order, bounds = distinct_parts(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
+        self.known.turn()
+        missing = self.known.missing(set(words))
+        if missing:
+            self.learn(missing)
+        return taken(list(map(self.known.young.__getitem__, words)), order, bounds)
 
 
 @lru_cache(maxsize=2)
@@ -83,28 +99,28 @@ def pieces(
     end_id: int = 0,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids``: each document's ids, cut only where they exceed ``capacity``."""
-    rows = texts_of(docs, id_column, text_column, binary=True)
+    rows = texts_of(docs, id_column, text_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = words_of(tokenizer_file)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            owner, piece, ids = [], [], []
-            for row, found in enumerate(own.encode(batch.column("text").to_pylist())):
-                found += end
-                for at in range(0, len(found), 4 * capacity):
-                    owner.append(row)
-                    piece.append(at // (4 * capacity))
-                    ids.append(found[at : at + 4 * capacity])
-            number = np.array(piece, np.int64)
+            ids, bounds = own.encode(batch.column("text"))
+            # Each text's ids and then the end id.
+            sizes = np.diff(bounds) + 1
+            ids = np.insert(ids.astype("<u4"), bounds[1:], end_id)
+            counts = -(-sizes // capacity)
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            length = np.minimum(capacity, sizes[owner] - piece * capacity)
+            ends = pa.py_buffer(np.append(0, 4 * np.cumsum(length)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(owner, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    pa.array(number * capacity),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
+                    batch.column("doc_id").take(pa.array(owner)),
+                    pa.array(piece.astype(np.int32)),
+                    pa.array(piece * capacity),
+                    pa.array(length),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(owner), [None, ends, pa.py_buffer(ids)]),
                 ],
                 names=["doc_id", "piece", "start", "length", "ids"],
             )

@@ -26,8 +26,8 @@ from tidemark.llm.common import read
 
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
-    return decoded.select(
+    found = bpe.round_trip(read(spark, sf_dir, "documents"), ranks, pattern)
+    return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
@@ -52,9 +52,8 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    found = repeats.kept_words(docs).select("key", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    return repeats.members(docs).join(found, "key").drop("key")
+    found = repeats.kept_words(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

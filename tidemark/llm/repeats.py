@@ -1,16 +1,18 @@
 """Passages that repeat across or within texts, by prefix-partitioned suffix trees.
 
-A window is ``width`` consecutive words; a word goes if any window over it starts anywhere else as well. Texts with the same word
-sequence are one class, so exact copies cost one row.
+A window is ``width`` consecutive words; a word goes if any window over it starts anywhere else as well.
 
 Suffixes are not shipped from every position. A window's anchor is its smallest hashed 8-gram: equal windows have equal
-anchors at equal offsets, and about one position in fourteen is an anchor. The suffix that starts at an anchor belongs to the
-partition of its prefix, the 8-gram, and brings the words before it that windows over the anchor can reach. A prefix that
-occurs once cannot be part of a repeat. Equal surroundings of a prefix are counted before anything is shuffled with text, so a
-passage that a third of all texts share comes to a few rows; only the different surroundings of a repeated prefix are sent to
-its partition. There the suffixes of the windows are sorted, which lays out the suffix tree: neighbours whose common prefix
-reaches the window width hang below one deep internal node, and are repeats. A prefix with too many different surroundings for
-one task is extended to the full window width; a node of that depth is simply a counted key.
+anchors at equal offsets, and about one position in fourteen is an anchor. A prefix, the 8-gram at an anchor, that occurs once
+cannot be part of a repeat. Equal surroundings of a prefix are counted before any text is shuffled, so a passage that a third
+of all texts share, or a text with thousands of copies, comes to a few rows; surroundings that occur twice make all their
+windows repeats. The different surroundings of a repeated prefix form a group. Groups are cut to what a task holds by prefixes
+of variable length: a group with too many surroundings is split by offset and by the first 12 words of its suffixes, parts
+that are still too large by 18, 24 and 30 words, and what agrees in all words of a window is one node without sorting.
+
+In a group the suffixes that begin at the windows over the anchor are sorted; the common prefixes of neighbours give the inner
+nodes of the suffix tree. Nodes at least ``width`` words deep are the repeats: each window at which a suffix below such a node
+begins occurs elsewhere too.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text, compared as they are. Defined cases: a null text, an empty one or one of
 white space has no words and keeps the empty text; texts under ``width`` words keep all words; repeated rows are copies of each
@@ -19,7 +21,6 @@ other; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -29,14 +30,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import prepare, texts_of
-from tidemark.session import stage_table
+from tidemark.llm.common import prepare, slices, texts_of
+from tidemark.session import stage_path, stage_table
 
 WIDTH, PREFIX = 35, 8
-#: Different surroundings of one prefix that one task sorts; prefixes with more are extended.
+#: Different surroundings of one prefix that one task sorts; groups of more are split by longer prefixes.
 GROUP = 4_096
+#: Words of the longer prefixes.
+LONGER = (12, 18, 24, 30)
 #: Words a worker remembers the hash of. It only saves time.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -100,47 +103,23 @@ def anchors(words: list[bytes], width: int, prefix: int) -> tuple[np.ndarray, np
     return position, grams[position], _mixed(around + (position - left).astype(np.uint64))
 
 
-def _key(words: list[bytes]) -> bytes:
-    return hashlib.sha256(b" ".join(words)).digest()[:16]
-
-
-def members(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, key`` of every row: rows with one key have the same words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [_key(text.split()) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary())], names=["doc_id", "key"])
-
-    rows = texts_of(docs, id_column, text_column, binary=True)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key binary")
-
-
-def _class_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``key, rid, copies, words`` of every different word sequence, bucketed by key so that later joins leave the texts in
-    place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [text.split() for text in batch.column("text").to_pylist()]
-            columns = [pa.array(list(map(_key, words)), pa.binary()), pa.array([b" ".join(w) for w in words], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "words"])
-
+def _text_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``rid, doc_id, words``: the texts, in buckets by row, so that later joins leave them in place."""
     spark = prepare(docs.sparkSession)
-    rows = texts_of(docs, id_column, text_column, binary=True).mapInArrow(run, "key binary, words binary")
-    classes = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("words").alias("words"))
-    name = f"word_sequences_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes.withColumn("rid", F.monotonically_increasing_id()).write.bucketBy(buckets, "key").saveAsTable(name, format="parquet")
+    rows = texts_of(docs, id_column, text_column, binary=True)
+    rows = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").alias("words"))
+    name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = rows.repartition(buckets, "rid").write.bucketBy(buckets, "rid").option("path", stage_path(spark, name))
+    made.saveAsTable(name, format="parquet")
     return spark.table(name)
 
 
-def _anchor_rows(classes: DataFrame, width: int, prefix: int) -> DataFrame:
+def _anchor_rows(texts: DataFrame, width: int, prefix: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             parts = [[], [], [], []]
-            for rid, text in zip(batch.column("rid").to_pylist(), batch.column("words").to_pylist()):
-                words = text.split()
+            for rid, text in zip(batch.column("rid").to_pylist(), batch.column("words")):
+                words = text.as_py().split()
                 if len(words) >= width:
                     position, gram, around = anchors(words, width, prefix)
                     for part, own in zip(parts, (gram, around, np.full(len(position), rid), position)):
@@ -151,25 +130,23 @@ def _anchor_rows(classes: DataFrame, width: int, prefix: int) -> DataFrame:
             columns = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "around", "rid", "pos"])
 
-    return classes.select("rid", "words").mapInArrow(run, "h long, around long, rid long, pos int")
+    return texts.select("rid", "words").mapInArrow(run, "h long, around long, rid long, pos int")
 
 
-def _with_words(classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``rows`` (``rid`` and others) gathered by class, next to its words; the bucketed side is not shuffled."""
-    keyed = rows.join(classes.select("rid", "key"), "rid")
+def _with_words(texts: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``rows`` (``rid`` and others) gathered by text, next to its words; the bucketed side is not shuffled."""
     own = [c for c in rows.columns if c != "rid"]
-    gathered = keyed.groupBy("key").agg(F.collect_list(F.struct(*own)).alias("at"))
-    return classes.join(gathered, "key", "left")
+    return texts.join(rows.groupBy("rid").agg(F.collect_list(F.struct(*own)).alias("at")), "rid", how)
 
 
-def _surroundings(classes: DataFrame, wanted: DataFrame, width: int, prefix: int) -> DataFrame:
+def _surroundings(texts: DataFrame, wanted: DataFrame, width: int, prefix: int) -> DataFrame:
     """``h, around, left, words``: the words around each wanted anchor, ``left`` of them before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [[], [], [], []]
-            for text, at in zip(batch.column("words").to_pylist(), batch.column("at").to_pylist()):
-                words = text.split()
+            for text, at in zip(batch.column("words"), batch.column("at").to_pylist()):
+                words = text.as_py().split()
                 for a in at:
                     left = max(0, a["pos"] - (width - prefix))
                     own = (a["h"], a["around"], a["pos"] - left, b" ".join(words[left : a["pos"] + width]))
@@ -178,89 +155,132 @@ def _surroundings(classes: DataFrame, wanted: DataFrame, width: int, prefix: int
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=["h", "around", "left", "words"])
 
-    rows = _with_words(classes, wanted).where("at IS NOT NULL").select("words", "at")
+    rows = _with_words(texts, wanted, "inner").select("words", "at")
     return rows.mapInArrow(run, "h long, around long, left int, words binary")
 
 
-def _window_suffixes(left: int, words: bytes, width: int, prefix: int) -> Iterator[tuple[int, bytes]]:
-    """(words before the anchor, the window) of every window over an anchor, as text cut at the window's depth."""
+def window_suffixes(left: int, words: bytes, width: int, prefix: int) -> Iterator[tuple[int, bytes]]:
+    """(words before the anchor, the suffix) at the start of every window over an anchor; each word ends with a space."""
     parts = words.split(b" ")
     ends = np.cumsum([len(p) + 1 for p in parts]).tolist()
     for before in range(min(left, width - prefix) + 1):
         first = left - before
         if first + width <= len(parts):
-            yield before, words[(ends[first - 1] if first else 0) : ends[first + width - 1] - 1]
+            yield before, words[(ends[first - 1] if first else 0) :] + b" "
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Words that two suffixes have in common at their beginnings."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] != b[:high]:
+        while low + 1 < high:
+            middle = (low + high) // 2
+            if a[low:middle] == b[low:middle]:
+                low = middle
+            else:
+                high = middle
+        high = low if a[:high] != b[:high] else high
+    return a.count(b" ", 0, high)
+
+
+def internal_nodes(suffixes: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+    """(depth in words, depth of the parent, first, stop) of every inner node of the tree over sorted suffixes."""
+    stack = [(0, 0)]  # (depth, first leaf) of the nodes on the path to the last leaf
+    for at in range(1, len(suffixes) + 1):
+        depth = _common(suffixes[at - 1], suffixes[at]) if at < len(suffixes) else 0
+        first = at - 1
+        while stack[-1][0] > depth:
+            below, first = stack.pop()
+            yield below, max(depth, stack[-1][0]), first, at
+        if stack[-1][0] < depth:
+            stack.append((depth, first))
 
 
 def deep_nodes(group: list[tuple[int, bytes]], width: int, prefix: int) -> list[int]:
-    """For each (left, words) around one prefix, a bit for every window over it that another one has too.
-
-    The suffixes are sorted per offset of the prefix; neighbours equal to the depth of a window are leaves of one node.
-    """
-    suffixes = sorted(
-        (before, window, row)
-        for row, (left, words) in enumerate(group)
-        for before, window in _window_suffixes(left, words, width, prefix)
-    )
+    """For each (left, words) around one prefix, a bit for every window over it that begins below a node of its depth."""
     masks = [0] * len(group)
-    for (before, window, row), (other_before, other, other_row) in zip(suffixes, suffixes[1:]):
-        if before == other_before and window == other:
-            masks[row] |= 1 << before
-            masks[other_row] |= 1 << before
+    by_offset: dict[int, list[tuple[bytes, int]]] = {}
+    for row, (left, words) in enumerate(group):
+        for before, suffix in window_suffixes(left, words, width, prefix):
+            by_offset.setdefault(before, []).append((suffix, row))
+    for before, leaves in by_offset.items():
+        leaves.sort()
+        for depth, above, first, stop in internal_nodes([suffix for suffix, _ in leaves]):
+            if depth >= width > above:  # nodes below it have the same leaves again
+                for _, row in leaves[first:stop]:
+                    masks[row] |= 1 << before
     return masks
 
 
-def _trees(around: DataFrame, width: int, prefix: int) -> DataFrame:
-    """``h, around, mask`` from one tree per prefix."""
+def _grouped(rows: DataFrame, key: str, masks_of) -> DataFrame:
+    """``h, around, mask`` of each group of rows with one key; a group is what ``masks_of(rows)`` gets at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(rows: list[dict]) -> pa.RecordBatch:
-            out, at = ([], [], []), 0
-            while at < len(rows):
-                stop = at
-                while stop < len(rows) and rows[stop]["h"] == rows[at]["h"]:
-                    stop += 1
-                masks = deep_nodes([(r["left"], r["words"]) for r in rows[at:stop]], width, prefix)
-                for r, mask in zip(rows[at:stop], masks):
-                    if mask:
-                        for part, value in zip(out, (r["h"], r["around"], mask)):
-                            part.append(value)
-                at = stop
+        def found(group: list[dict]) -> pa.RecordBatch:
+            out = ([], [], [])
+            for row, mask in zip(group, masks_of(group)):
+                if mask:
+                    for part, value in zip(out, (row["h"], row["around"], mask)):
+                        part.append(value)
             return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in out], names=["h", "around", "mask"])
 
         held: list[dict] = []
         for batch in batches:
-            held += batch.to_pylist()
-            last = held[-1]["h"] if held else None
-            cut = next((k for k in range(len(held), 0, -1) if held[k - 1]["h"] != last), 0)  # the last prefix may go on
-            if cut:
-                yield found(held[:cut])
-                held = held[cut:]
+            for row in batch.to_pylist():
+                if held and held[0][key] != row[key]:
+                    yield found(held)
+                    held = []
+                held.append(row)
         if held:
             yield found(held)
 
-    rows = around.repartition("h").sortWithinPartitions("h")
-    return rows.mapInArrow(run, "h long, around long, mask long")
+    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, "h long, around long, mask long")
 
 
-def _extended(around: DataFrame, width: int, prefix: int) -> DataFrame:
-    """``h, around, mask`` for prefixes with many surroundings: every window is a prefix of full depth, and is counted."""
+def _trees(around: DataFrame, width: int, prefix: int) -> DataFrame:
+    """``h, around, mask`` from one tree per prefix."""
+    return _grouped(around, "h", lambda group: deep_nodes([(r["left"], r["words"]) for r in group], width, prefix))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+
+def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list[DataFrame]:
+    """The same for prefixes with many surroundings: suffixes by offset and longer and longer beginnings, until a part fits."""
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
             out = ([], [], [], [])
             for row in batch.to_pylist():
-                for before, window in _window_suffixes(row["left"], row["words"], width, prefix):
-                    print_ = hashlib.sha256(window).digest()[:16]
-                    for part, value in zip(out, (row["h"], row["around"], before, print_)):
+                for before, suffix in window_suffixes(row["left"], row["words"], width, prefix):
+                    for part, value in zip(out, (row["h"], row["around"], before, suffix)):
                         part.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=["h", "around", "before", "node"])
-
-    rows = around.mapInArrow(run, "h long, around long, before int, node binary")
-    deep = rows.groupBy("h", "before", "node").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    hits = rows.join(deep, ["h", "before", "node"]).select("h", "around", F.expr("shiftleft(1L, before)").alias("mask"))
-    return hits.groupBy("h", "around").agg(F.bit_or("mask").alias("mask"))
+            yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=["h", "around", "before", "suffix"])
+
+    def masks_of(rows: list[dict]) -> list[int]:
+        order = sorted(range(len(rows)), key=lambda k: rows[k]["suffix"])
+        masks = [0] * len(rows)
+        for depth, above, first, stop in internal_nodes([rows[k]["suffix"] for k in order]):
+            if depth >= width > above:
+                for k in order[first:stop]:
+                    masks[k] = 1 << rows[k]["before"]
+        return masks
+
+    rest = stage_table(around.mapInArrow(suffixes, "h long, around long, before int, suffix binary"), "suffixes")
+    found = []
+    for length in (*(n for n in LONGER if prefix < n < width), width):
+        if rest.isEmpty():
+            break
+        beginning = F.substring_index(F.decode("suffix", "UTF-8"), " ", length)
+        rest = rest.withColumn("part", F.md5(F.concat_ws(" ", F.col("h").cast("string"), F.col("before").cast("string"), beginning).cast("binary")))
+        sizes = stage_table(rest.groupBy("part").agg(F.count("*").alias("n")).where("n > 1"), "part-sizes")
+        if length == width:
+            # All words of a window agree: a node whose leaves need no sorting.
+            hits = rest.join(sizes, "part").select("h", "around", F.expr("shiftleft(1L, before)").alias("mask"))
+            found.append(hits)
+            break
+        fits = rest.join(sizes.where(F.col("n") <= group).select("part"), "part")
+        found.append(_grouped(fits, "part", masks_of))
+        rest = stage_table(rest.join(sizes.where(F.col("n") > group).select("part"), "part").drop("part"), "suffixes")
+    return found
 
 
 def kept_words(
@@ -270,12 +290,14 @@ def kept_words(
     group: int = GROUP,
     id_column: str = "doc_id",
     text_column: str = "text",
+    as_is: bool = False,
 ) -> DataFrame:
-    """``key, n_words, n_removed, kept`` of every different word sequence; ``members`` has the key of every row.
+    """``doc_id, n_words, n_removed, kept`` of every row.
 
-    ``kept`` is the text of the words that stay, joined by one space."""
-    classes = _class_table(docs, id_column, text_column)
-    rows = stage_table(_anchor_rows(classes, width, prefix), "anchors")
+    ``kept`` (binary) is the text of the words that stay, joined by one space; with ``as_is`` a text that loses nothing stays
+    as it is."""
+    texts = _text_table(docs, id_column, text_column)
+    rows = stage_table(_anchor_rows(texts, width, prefix), "anchors")
     # A table of its own, so that a prefix with very many anchors can be split in the join.
     repeated = stage_table(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-prefixes")
     rows = stage_table(rows.join(repeated, "h"), "repeated-anchors")
@@ -283,25 +305,23 @@ def kept_words(
     different = stage_table(different.select("h", "around", "n", "first.*"), "surroundings")
     sizes = different.groupBy("h").agg(F.count("*").alias("d")).where("d > 1")
     wanted = different.join(sizes, "h").select("rid", "pos", "h", "around", (F.col("d") > group).alias("many"))
-    small, large = wanted.where("NOT many").drop("many"), wanted.where("many").drop("many")
+    around = stage_table(_surroundings(texts, wanted.where("NOT many").drop("many"), width, prefix), "around")
+    large = _surroundings(texts, wanted.where("many").drop("many"), width, prefix)
     every = F.lit((1 << (width - prefix + 1)) - 1)
-    masks = (
-        different.where("n > 1").select("h", "around", every.alias("mask"))
-        .unionByName(_trees(_surroundings(classes, small, width, prefix), width, prefix))
-        .unionByName(_extended(_surroundings(classes, large, width, prefix), width, prefix))
-        .groupBy("h", "around").agg(F.bit_or("mask").alias("mask"))
-    )
+    masks = different.where("n > 1").select("h", "around", every.alias("mask"))
+    for more in [_trees(around, width, prefix), *_split_trees(large, width, prefix, group)]:
+        masks = masks.unionByName(more)
+    masks = stage_table(masks.groupBy("h", "around").agg(F.bit_or("mask").alias("mask")), "masks")
     spans = rows.join(masks, ["h", "around"]).select("rid", "pos", "mask")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, removed, kept = [], [], []
-            for text, copies, at in zip(*(batch.column(c).to_pylist() for c in ("words", "copies", "at"))):
+            for text, at in zip(batch.column("words"), batch.column("at").to_pylist()):
+                text = text.as_py()
                 words = text.split()
                 n = len(words)
                 edge = np.zeros(n + 1, np.int32)
-                if copies > 1 and n >= width:
-                    edge[0], edge[n] = 1, -1
                 for a in at or ():
                     for before in range(width - prefix + 1):
                         first = a["pos"] - before
@@ -311,16 +331,17 @@ def kept_words(
                 gone = np.cumsum(edge[:n]) > 0
                 sizes.append(n)
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if removed[-1] else text)
-            columns = [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_words", "n_removed", "kept"])
+                stays = [w for w, g in zip(words, gone.tolist()) if not g] if removed[-1] else words
+                kept.append(text if as_is and not removed[-1] else b" ".join(stays))
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
 
-    found = _with_words(classes, spans).select("key", "words", "copies", "at")
-    return found.mapInArrow(run, "key binary, n_words long, n_removed long, kept binary")
+    found = _with_words(texts, spans, "left").select("doc_id", "words", "at")
+    kind = found.schema["doc_id"].dataType.simpleString()
+    return found.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (text) of every row; see ``kept_words``."""
     found = kept_words(docs, id_column=id_column, text_column=text_column, **options)
-    joined = members(docs, id_column, text_column).join(found.withColumn("kept", F.decode("kept", "UTF-8")), "key")
-    return joined.select("doc_id", "n_words", "n_removed", "kept")
+    return found.withColumn("kept", F.decode("kept", "UTF-8"))

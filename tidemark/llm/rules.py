@@ -200,11 +200,14 @@ def learn(
     label_column: str = "quality",
     id_column: str = "doc_id",
     bins: int = 48,
-    most_rules: int = 8,
     longest: int = 3,
     precision: float = 0.97,
 ) -> list[Rule]:
-    """Ordered rules that tell rejected texts (label 0) from good ones (label 1), from rows that pass the base rules."""
+    """Ordered rules that tell rejected texts (label 0) from good ones (label 1), from rows that pass the base rules.
+
+    Covering goes on until a grown rule has fewer than two rejected rows. A rule that fails on the prune rows is not taken;
+    the rows that it covers are set aside, so that the next one is about others.
+    """
     given = labels.select(labels[id_column].alias("doc_id"), labels[label_column].cast("int").alias("label"))
     rows = stats.where(~base_failed()).join(given.where(F.col("label").isin(0, 1)), "doc_id")
     prune = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
@@ -217,16 +220,18 @@ def learn(
     if len(marks) < 2:
         return []
     rules: list[Rule] = []
-    while len(rules) < most_rules:
+    failed: list[Rule] = []
+    while True:
         left = rows.where(expression(rules))
-        rule = _grow(left.where(~F.col("prune")), cuts, longest)
-        if not rule:
-            break
-        rule, bad, good = _prune(left.where(F.col("prune")), rule)
+        grow = left.where(~F.col("prune") & expression(failed))
+        rule = _grow(grow, cuts, longest)
+        if not rule or (grow.where(covers(rule)).agg(F.sum("bad")).first()[0] or 0) < 2:
+            return rules
+        pruned, bad, good = _prune(left.where(F.col("prune")), rule)
         if bad < 2 or bad < precision * (bad + good):
-            break
-        rules.append(rule)
-    return rules
+            failed.append(rule)
+        else:
+            rules.append(pruned)
 
 
 def apply(stats: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -234,13 +239,16 @@ def apply(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & expression(rules))
 
 
-def keep(docs: DataFrame, rules: list[Rule], text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that neither the base rules nor the list reject, unchanged."""
+def described(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``_row`` (the whole row), ``doc_id`` and the statistics, staged: texts are read and counted once."""
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     rows = _statistics(docs.select(F.struct("*").alias("_row"), text.alias("text")), "_row")
-    # A filter over a plain column stays above the statistics; pushed below them it would repeat each in every condition.
-    rows = rows.withColumn("_place", F.monotonically_increasing_id())
-    return apply(rows, rules).where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
+    return stage_table(rows.withColumn("doc_id", F.col(f"_row.{id_column}")), "described")
+
+
+def keep(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows behind :func:`described` that neither the base rules nor the list reject, unchanged."""
+    return apply(rows, rules).where("kept").select("_row.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

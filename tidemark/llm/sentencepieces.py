@@ -190,6 +190,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed 32-bit ids of each text, the end id included."""
         cut = [self.cut(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        self.segments.turn()
         missing = self.segments.missing(set(chain.from_iterable(cut)))
         if missing:
             self.learn(missing)
