@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, pii, repeats, rules, shingles
+from tidemark.llm import packing, pii, repeats, rules, simhash
 from tidemark.llm.common import prepare, read
 from tidemark.session import stage_table
 
@@ -24,28 +24,29 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the decision list learnt from ``labels`` reject go."""
     prepare(spark)
-    stats = stage_table(rules.statistics(docs), "text-statistics")
-    return rules.keep(docs, rules.learn(stats, read(spark, sf_dir, "labels")))
+    rows = rules.described(docs)
+    return rules.keep(rows, rules.learn(rows, read(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a Jaccard similarity of 0.8 of five-word shingles the document with the smallest id stays (nulls first; of equal ids the first row)."""
+    """Of each group of fingerprints linked by 4 or fewer differing bits (4-word shingles) the document with the smallest id stays (nulls first; of equal ids the first row)."""
     prepare(spark)
     # Written once: another job over docs may deal the files to other partitions, and so number the rows anew.
-    placed = stage_table(docs.withColumn("_place", F.struct(F.col("doc_id"), F.monotonically_increasing_id().alias("row"))), "placed")
-    stays = shingles.near_duplicates(placed, id_column="_place").withColumnRenamed("component_id", "_place")
-    return placed.join(stays, "_place", "left_semi").select(*docs.columns)
+    place = F.struct(F.col("doc_id"), F.monotonically_increasing_id().alias("row"))
+    placed = stage_table(docs.select(F.struct("*").alias("_row"), "text", place.alias("_place")), "placed")
+    found = simhash.near_duplicates(placed, words=4, limit=4, id_column="_place")
+    stays = found.select(F.col("component_id").alias("_place")).distinct()
+    return placed.join(stays, "_place", "left_semi").select("_row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated windows go; a text without any stays as it is, one without other words goes."""
     prepare(spark)
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    changed = F.when(F.col("n_removed") > 0, F.decode("kept", "UTF-8")).alias("_new_text")
-    found = repeats.kept_words(docs).select("key", "n_words", "n_removed", changed)
-    joined = repeats.members(rows, id_column="_row").join(found, "key").where("n_removed = 0 OR n_removed < n_words")
-    joined = joined.select("doc_id.*", "_new_text").withColumn("text", F.coalesce("_new_text", "text"))
-    return _with_length(joined, docs.columns)
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others, F.col("text").isNull().alias("_no_text")).alias("_row"), "text")
+    found = repeats.kept_words(rows, id_column="_row", as_is=True).where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(~F.col("doc_id._no_text"), F.decode("kept", "UTF-8"))
+    return _with_length(found.select("doc_id.*", text.alias("text")), docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +56,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents and their places in sequences of 2048 tokens."""
+    """Token pieces of all documents (``ids``: little-endian unsigned 32-bit numbers) and their places in sequences of 2048."""
     prepare(spark)
     pieces = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    pieces = pieces.withColumns({"ids_crc32": F.crc32("ids"), "row": F.monotonically_increasing_id()})
+    pieces = stage_table(pieces, "token-pieces")
+    places = packing.pack(pieces.select("row", "length")).drop("length")  # only lengths are packed
+    return pieces.join(places, "row").drop("row")
 
 
 STAGES = [
