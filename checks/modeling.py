@@ -12,6 +12,7 @@ from checks.views import CUTOFF, TERMS_B, with_views
 from tidemark import schemas as s
 from tidemark.functions.market import price_class
 from tidemark.functions import text as tx
+from tidemark.operators import boosting as b
 from tidemark.operators import diagnosis as d
 from tidemark.operators import evaluation as e
 from tidemark.operators import indicators as ind
@@ -513,7 +514,7 @@ def _trees():
 
 
 def _reference_trees():
-    """100 trees of depth 6, for the queries that return what the model says."""
+    """100 trees of depth 6 of the general estimator."""
     return m.boosted_trees(s.TARGET)
 
 
@@ -528,11 +529,50 @@ def gbt_predictions(spark, sf_dir):
     return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, number.alias("predicted"))
 
 
+#: Trees and depth of the reference, for the queries that return what the model says.
+_TREES = {"trees": 100, "depth": 6}
+
+
+def _boosted(spark, sf_dir, folds=0):
+    """Scaled rows with a target, and the models fitted on their train part: one per fold, and that of all rows last."""
+    known = stage_table(_known(spark, sf_dir).select(*s.KEY_COLUMNS, s.TARGET, s.SPLIT, *_MODEL_FEATURES), "known")
+    fold = splits.fold_column(s.KEY_COLUMNS, folds) if folds else None
+    return known, b.fit_boosted(known.where(F.col(s.SPLIT) == "train"), _MODEL_FEATURES, s.TARGET, fold, folds, **_TREES)
+
+
 @check("gbt_prediction_values")
 def gbt_prediction_values(spark, sf_dir):
     """The predictions themselves, of the trees of the reference."""
-    _, predicted = m.fit_and_predict(_training(spark, sf_dir), _reference_trees())
-    return predicted.select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, "predicted")
+    known, forests = _boosted(spark, sf_dir)
+    return b.predict_boosted(known, forests[-1]).select(*s.KEY_COLUMNS, s.SPLIT, s.TARGET, "predicted")
+
+
+def _attributed_trees(spark, sf_dir):
+    known, forests = _boosted(spark, sf_dir)
+    return b.tree_attributions(b.predict_boosted(known, forests[-1]), forests[-1]), forests[-1].expected
+
+
+@check(
+    "tree_attribution",
+    _on_features(
+        f"""SELECT symbol, prediction_date, split, {len(_MODEL_FEATURES)} AS n_features, true AS adds_up
+            FROM features WHERE {s.TARGET} IS NOT NULL"""
+    ),
+)
+def tree_attribution(spark, sf_dir):
+    """The attributions of every row add up to its prediction minus the mean prediction of the model."""
+    made, expected = _attributed_trees(spark, sf_dir)
+    names = [f"shap_{c}" for c in _MODEL_FEATURES]
+    total = F.aggregate(F.array(*names), F.lit(0.0), lambda a, x: a + x)
+    adds_up = F.abs(total - (F.col("predicted") - expected)) <= 1e-9 * (1 + F.abs("predicted"))
+    return made.select("symbol", "prediction_date", "split", F.size(F.array(*names)).alias("n_features"), adds_up.alias("adds_up"))
+
+
+@check("tree_attribution_values")
+def tree_attribution_values(spark, sf_dir):
+    """Prediction and one attribution per model feature."""
+    made, _ = _attributed_trees(spark, sf_dir)
+    return made.select(*s.KEY_COLUMNS, s.SPLIT, "predicted", *[f"shap_{c}" for c in _MODEL_FEATURES])
 
 
 _FOLD = "CAST(('0x' || substr(md5(concat_ws('|', symbol, CAST(prediction_date AS VARCHAR), '42')), 1, 2)) AS INT) % 5"
@@ -555,10 +595,16 @@ def cv_scores(spark, sf_dir):
 
 @check("cv_score_values")
 def cv_score_values(spark, sf_dir):
-    """Scores of each fold, of the trees of the reference, each row with their mean and deviation over the folds."""
-    train = _training(spark, sf_dir).filter(F.col(s.SPLIT) == "train")
-    per_fold = stage_table(m.cross_validate(train, _reference_trees(), s.TARGET, s.KEY_COLUMNS), "fold-scores")
-    return per_fold.crossJoin(m.cross_validation_summary(per_fold))
+    """Scores of each fold, of the trees of the reference, each row with their mean and deviation over the folds.
+
+    The models of all folds grow together.
+    """
+    known, forests = _boosted(spark, sf_dir, folds=5)
+    train = known.where(F.col(s.SPLIT) == "train").withColumn("fold", splits.fold_column(s.KEY_COLUMNS, 5))
+    scored = b.cross_predicted(train, forests, F.col("fold"))
+    per_fold = stage_table(e.regression_metrics(scored, s.TARGET, "predicted", ["fold"]), "fold-scores")
+    summary = m.cross_validation_summary(per_fold).first().asDict()
+    return per_fold.withColumns({k: F.lit(v) for k, v in summary.items()})
 
 
 _ABLATED = ["open", "volume", "vwap", "trade_count"]
