@@ -17,7 +17,7 @@ from tidemark.operators import diagnosis as d
 from tidemark.operators import evaluation as e
 from tidemark.operators import indicators as ind
 from tidemark.operators import modeling as m
-from tidemark.operators import scoring, splits
+from tidemark.operators import per_key, scoring, splits
 from tidemark.operators import sequences as seq
 from tidemark.operators.news import article_next_bar
 from tidemark.session import stage_table
@@ -430,6 +430,24 @@ def per_symbol_regression(spark, sf_dir):
     return rounded(made, ["slope", "intercept"], 6)
 
 
+@check(
+    "per_symbol_ridge",
+    with_views(
+        "preds",
+        f"""SELECT symbol, {rounded_sql("regr_slope(actual_return, predicted_return)", "slope", 6)},
+              {rounded_sql("regr_intercept(actual_return, predicted_return)", "intercept", 6)}, count(*) AS train_rows
+            FROM preds WHERE split = 'train' AND actual_return IS NOT NULL AND predicted_return IS NOT NULL GROUP BY symbol""",
+    ),
+)
+def per_symbol_ridge(spark, sf_dir):
+    """The regression of many features with one feature and no penalty is the least-squares line."""
+    made = per_key.fit_ridge_per_key(
+        t.preds(spark, sf_dir), ["symbol"], ["predicted_return"], "actual_return", 0.0, F.col("split") == "train"
+    )
+    made = made.select("symbol", F.col("coefficients")[0].alias("slope"), "intercept", "train_rows")
+    return rounded(made, ["slope", "intercept"], 6)
+
+
 @check(
     "per_symbol_forecast",
     with_views(

@@ -122,12 +122,13 @@ def mean_gaps(df: DataFrame, group: Column, columns: Sequence[str], at_least: fl
 
 
 def cohort_ratios(df: DataFrame, high: Column, low: Column, columns: Sequence[str]) -> DataFrame:
-    """Per column: mean and nulls of two cohorts and the ratio of the means (infinite over a zero mean)."""
+    """Per column: mean and nulls of two cohorts and the ratio of the means (infinite over a zero mean). NaN counts as null."""
     measures = []
     for i, c in enumerate(columns):
         for name, mask in (("h", high), ("l", low)):
-            measures.append(F.avg(F.when(mask, F.col(c))).alias(f"_{name}{i}"))
-            measures.append(F.count_if(mask & F.col(c).isNull()).alias(f"_{name}n{i}"))
+            missing = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+            measures.append(F.avg(F.when(mask & ~missing, F.col(c))).alias(f"_{name}{i}"))
+            measures.append(F.count_if(mask & missing).alias(f"_{name}n{i}"))
     means = df.agg(*measures)
     rows = {}
     for i, c in enumerate(columns):

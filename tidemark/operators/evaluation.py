@@ -231,7 +231,7 @@ def directional_loss(df: DataFrame, actual: str, predicted: str, weight: float =
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Rows per equal-width bin with its lower edge; all ``bins`` bins, the last one includes the maximum."""
-    known = df.filter(F.col(value).isNotNull())
+    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     ends = known.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
 
     def edges(frame: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import null_safe_join
 from tidemark.functions.market import availability_date, daily_move
 from tidemark.functions.text import ARTICLE_SEPARATOR, article_text, join_symbols, symbol_list
 from tidemark.operators.asof import latest_per_key
@@ -96,7 +97,7 @@ def number_articles(news: DataFrame, slice_seconds: int = _ROLLUP_SLICE_SECONDS)
         .select(*key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*key, "_slice").orderBy("created_at", "headline", "symbols")
-    return rows.join(offsets, [*key, "_slice"]).select(
+    return null_safe_join(rows, offsets, [*key, "_slice"]).select(
         *key, "created_at", "headline", (F.col("_offset") + F.row_number().over(inside)).alias("article_no")
     )
 

@@ -8,6 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import null_safe_join
 from tidemark.session import stage_table
 
 BUCKET_ROWS = 100_000
@@ -67,7 +68,7 @@ def cumulative(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = {n: F.col(f"_start_{n}") + F.sum(c).over(inside) for n, c in sums.items()}
-    return placed.join(starts, [*keys, "_bucket"]).withColumns(running).drop("_bucket", *[f"_start_{n}" for n in sums])
+    return null_safe_join(placed, starts, [*keys, "_bucket"]).withColumns(running).drop("_bucket", *[f"_start_{n}" for n in sums])
 
 
 def value_counts_table(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "value-counts") -> DataFrame:
@@ -88,7 +89,7 @@ def exact_quantiles(
     counts = value_counts_table(df.withColumn(value, F.col(value).cast("double")), value, keys)
     ranked = cumulative(counts, value, {"_upto": "n"}, keys)
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("rows"))
-    joined = ranked.join(sizes, keys) if keys else ranked.withColumn("rows", sizes.select("rows").scalar())
+    joined = null_safe_join(ranked, sizes, keys) if keys else ranked.withColumn("rows", sizes.select("rows").scalar())
     picks = []
     for name, p in probabilities.items():
         place = F.lit(float(p)) * (F.col("rows") - 1)

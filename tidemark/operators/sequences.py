@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as s
+from tidemark.operators.joins import null_safe_join
 from tidemark.functions.market import split_label
 from tidemark.operators.series import (
     BLOCK_DAYS,
@@ -165,7 +166,7 @@ def with_min_history(
     by: Sequence[str] = ("symbol",),
     at_least: int = s.SEQUENCE_LENGTH + s.PREDICTION_HORIZON + s.MIN_EXTRA_ROWS,
 ) -> DataFrame:
-    return df.join(keys_with_history(df, by, at_least).select(*by), list(by), "left_semi")
+    return null_safe_join(df, keys_with_history(df, by, at_least).select(*by), by, "left_semi")
 
 
 def minmax_by_key(
@@ -180,7 +181,7 @@ def minmax_by_key(
     for c in columns:
         value = F.col(c) if fit_on is None else F.when(fit_on, F.col(c))
         ranges += [F.min(value).alias(f"_min_{c}"), F.max(value).alias(f"_max_{c}")]
-    joined = df.join(df.groupBy(*by).agg(*ranges), list(by))
+    joined = null_safe_join(df, df.groupBy(*by).agg(*ranges), by)
     scaled = {
         f"{c}{suffix}": scaled_value(F.col(c), F.col(f"_min_{c}"), F.col(f"_max_{c}")) for c in columns
     }
@@ -209,7 +210,7 @@ def target_date_split(
         )
         .filter((F.col("_train") >= min_train) & (F.col("_test") >= min_test))
     )
-    return labelled.join(usable.select(*by), list(by), "left_semi")
+    return null_safe_join(labelled, usable.select(*by), by, "left_semi")
 
 
 def chronological_cut(
@@ -226,7 +227,7 @@ def chronological_cut(
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     limit = F.floor(F.col("_rows") * F.lit(first_share))
     return (
-        numbered.join(sizes, list(by))
+        null_safe_join(numbered, sizes, by)
         .withColumn(column, F.when(F.col(POS) < limit, labels[0]).otherwise(labels[1]))
         .drop(POS, "_rows")
     )
