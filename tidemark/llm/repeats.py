@@ -104,10 +104,10 @@ def anchors(words: list[bytes], width: int, prefix: int) -> tuple[np.ndarray, np
 
 
 def _text_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``rid, doc_id, words``: the texts, in buckets by row, so that later joins leave them in place."""
+    """``rid, key, doc_id, words``: the texts, in buckets by row, so that later joins leave them in place. Copies share a key."""
     spark = prepare(docs.sparkSession)
     rows = texts_of(docs, id_column, text_column, binary=True)
-    rows = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").alias("words"))
+    rows = rows.select(F.monotonically_increasing_id().alias("rid"), F.unhex(F.sha2("text", 256)).alias("key"), "doc_id", F.col("text").alias("words"))
     name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = rows.repartition(buckets, "rid").write.bucketBy(buckets, "rid").option("path", stage_path(spark, name))
     made.saveAsTable(name, format="parquet")
@@ -133,12 +133,6 @@ def _anchor_rows(texts: DataFrame, width: int, prefix: int) -> DataFrame:
     return texts.select("rid", "words").mapInArrow(run, "h long, around long, rid long, pos int")
 
 
-def _with_words(texts: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """``rows`` (``rid`` and others) gathered by text, next to its words; the bucketed side is not shuffled."""
-    own = [c for c in rows.columns if c != "rid"]
-    return texts.join(rows.groupBy("rid").agg(F.collect_list(F.struct(*own)).alias("at")), "rid", how)
-
-
 def _surroundings(texts: DataFrame, wanted: DataFrame, width: int, prefix: int) -> DataFrame:
     """``h, around, left, words``: the words around each wanted anchor, ``left`` of them before it."""
 
@@ -155,7 +149,9 @@ def _surroundings(texts: DataFrame, wanted: DataFrame, width: int, prefix: int)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=["h", "around", "left", "words"])
 
-    rows = _with_words(texts, wanted, "inner").select("words", "at")
+    # Gathered by text; the bucketed side is not shuffled.
+    gathered = wanted.groupBy("rid").agg(F.collect_list(F.struct("h", "around", "pos")).alias("at"))
+    rows = texts.join(gathered, "rid").select("words", "at")
     return rows.mapInArrow(run, "h long, around long, left int, words binary")
 
 
@@ -204,6 +200,8 @@ def deep_nodes(group: list[tuple[int, bytes]], width: int, prefix: int) -> list[
         for before, suffix in window_suffixes(left, words, width, prefix):
             by_offset.setdefault(before, []).append((suffix, row))
     for before, leaves in by_offset.items():
+        if len(leaves) < 2:
+            continue
         leaves.sort()
         for depth, above, first, stop in internal_nodes([suffix for suffix, _ in leaves]):
             if depth >= width > above:  # nodes below it have the same leaves again
@@ -297,7 +295,12 @@ def kept_words(
     ``kept`` (binary) is the text of the words that stay, joined by one space; with ``as_is`` a text that loses nothing stays
     as it is."""
     texts = _text_table(docs, id_column, text_column)
-    rows = stage_table(_anchor_rows(texts, width, prefix), "anchors")
+    # All windows of a copied text are repeats; its first copy alone meets the others.
+    named = texts.select("rid", "key")
+    copies = named.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1")
+    copied = stage_table(named.join(copies, "key").select("rid", (F.col("rid") != F.col("first")).alias("later")), "copies")
+    different_texts = texts.join(copied.where("later"), "rid", "left_anti")
+    rows = stage_table(_anchor_rows(different_texts, width, prefix), "anchors")
     # A table of its own, so that a prefix with very many anchors can be split in the join.
     repeated = stage_table(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-prefixes")
     rows = stage_table(rows.join(repeated, "h"), "repeated-anchors")
@@ -317,10 +320,15 @@ def kept_words(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sizes, removed, kept = [], [], []
-            for text, at in zip(batch.column("words"), batch.column("at").to_pylist()):
+            for text, at, copy in zip(batch.column("words"), batch.column("at").to_pylist(), batch.column("copied").to_pylist()):
                 text = text.as_py()
                 words = text.split()
                 n = len(words)
+                if copy and n >= width:
+                    sizes.append(n)
+                    removed.append(n)
+                    kept.append(b"")
+                    continue
                 edge = np.zeros(n + 1, np.int32)
                 for a in at or ():
                     for before in range(width - prefix + 1):
@@ -336,7 +344,9 @@ def kept_words(
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
 
-    found = _with_words(texts, spans, "left").select("doc_id", "words", "at")
+    at = spans.groupBy("rid").agg(F.collect_list(F.struct("pos", "mask")).alias("at"))
+    known = at.join(copied.select("rid", F.lit(True).alias("copied")), "rid", "full_outer")
+    found = texts.join(known, "rid", "left").select("doc_id", "words", "at", "copied")
     kind = found.schema["doc_id"].dataType.simpleString()
     return found.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept binary")
 
