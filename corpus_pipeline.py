@@ -6,13 +6,33 @@ Every stage but the last returns the columns of ``documents``. A row is known by
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import packing, pii, repeats, rules, simhash
 from tidemark.llm.common import prepare, read
-from tidemark.session import stage_table
+from tidemark.session import recorded_stages, remove_stages, stage_table
+
+#: What the stage before has written for its own use.
+_inner: list[str] = []
+
+
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage whose inner tables go when the next one begins: its result has been written, and is read again, by then."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove_stages(spark, _inner)
+        with recorded_stages() as made:
+            out = work(spark, docs, sf_dir)
+        _inner.extend(made)
+        return out
+
+    return run_stage
 
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -21,6 +41,7 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.withColumns(length).select(*columns)
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the decision list learnt from ``labels`` reject go."""
     prepare(spark)
@@ -28,6 +49,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep(rows, rules.learn(rows, read(spark, sf_dir, "labels")))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of fingerprints linked by 4 or fewer differing bits (4-word shingles) the document with the smallest id stays (nulls first; of equal ids the first row)."""
     prepare(spark)
@@ -39,6 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return placed.join(stays, "_place", "left_semi").select("_row.*")
 
 
+@_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated windows go; a text without any stays as it is, one without other words goes."""
     prepare(spark)
@@ -49,12 +72,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _with_length(found.select("doc_id.*", text.alias("text")), docs.columns)
 
 
+@_stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data are replaced by their kind."""
     prepare(spark)
     return _with_length(pii.redact(docs, pii.learn(docs)), docs.columns)
 
 
+@_stage
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents (``ids``: little-endian unsigned 32-bit numbers) and their places in sequences of 2048."""
     prepare(spark)

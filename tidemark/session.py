@@ -68,10 +68,25 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _scopes.remove(made)
-        for path in made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _scopes[:] = [scope for scope in _scopes if scope is not made]
+        remove_stages(spark, made)
+
+
+@contextmanager
+def recorded_stages() -> Iterator[list[str]]:
+    """The paths of the stages written inside the block, for somebody who removes them later."""
+    _scopes.append(made := [])
+    try:
+        yield made
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not made]
+
+
+def remove_stages(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    paths.clear()
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
