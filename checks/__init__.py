@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "news", "indicators", "evaluation", "modeling", "ingest", "gaps"]
+MODULES = ["features", "news", "indicators", "evaluation", "modeling", "ingest", "gaps", "composites"]
 
 
 def load():

@@ -26,6 +26,33 @@ DIRECTION_PROMPT = (
     "News: {article_text}\n"
     "Prediction: "
 )
+CHAT_PROMPT = (
+    "[INST]<<SYS>>\n"
+    "You are a seasoned stock market analyst. Your task is to list the positive developments and potential concerns for "
+    "companies based on relevant news and basic financials from the past weeks, then provide an analysis and prediction for "
+    "the companies' stock price movement for the upcoming week. Your answer format should be as follows:\n\n"
+    "[Positive Developments]:\n1. ...\n\n"
+    "[Potential Concerns]:\n1. ...\n\n"
+    "[Prediction & Analysis]:\nPrediction: {{Up/Down}}\nAnalysis: ...\n"
+    "\n<</SYS>>\n\n\n"
+    "[Company Symbol]: {symbol}\n[Date]: {news_date}\n\n"
+    "From the news articles below, analyze {symbol}'s stock outlook:\n\n"
+    "{article_text}\n\n"
+    "Based on the information above, analyze the positive developments and potential concerns for {symbol}. "
+    "Then predict whether the stock price will go Up or Down tomorrow.\n"
+    "[/INST]"
+)
+JSON_PROMPT = (
+    "Analyze this financial news article for its likely impact on stock price.\n\n"
+    "Article: {article_text}\n\n"
+    "Respond with ONLY a valid JSON object (no markdown, no explanation):\n"
+    '{{"sentiment": "positive" or "negative" or "neutral", "confidence": 0.0 to 1.0}}\n\n'
+    "Rules:\n"
+    '- "positive" = news likely to increase stock price (upgrades, beats, positive outlook)\n'
+    '- "negative" = news likely to decrease stock price (downgrades, misses, negative outlook)\n'
+    '- "neutral" = news unlikely to move stock price significantly\n'
+    "- confidence should reflect how certain you are (0.5 = uncertain, 1.0 = very confident)"
+)
 SENTIMENT_MARKER, SENTIMENT_LABELS, SENTIMENT_DEFAULT = "Answer:", {"positive": 0.85, "negative": 0.85}, ("neutral", 0.7)
 DIRECTION_MARKER, DIRECTION_LABELS, DIRECTION_DEFAULT = "Prediction:", {"up": 0.7, "down": 0.7}, ("stable", 0.6)
 FAILED_SENTIMENT, FAILED_DIRECTION = ("neutral", 0.5), ("stable", 0.5)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.market import map_values, two_way_direction
-from tidemark.operators.ordered import cumulative, exact_quantiles
+from tidemark.operators.ordered import cumulative, exact_quantiles, ordered_places
 from tidemark.session import stage_table
 
 
@@ -23,6 +23,12 @@ def label_share(df: DataFrame, label: str, move: str | None = None) -> DataFrame
     return df.groupBy(label).agg(*measures).withColumn("pct", _share("n"))
 
 
+def frequency_order(df: DataFrame, value: str) -> DataFrame:
+    """Values by how often they occur, most frequent first, ties by value (nulls first): (value, n, place)."""
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    return ordered_places(counted, [F.desc("n"), F.asc_nulls_first(value)])
+
+
 def label_stats(df: DataFrame, label: str, value: str) -> DataFrame:
     """Mean, sample deviation, count and standard error per label."""
     stats = df.groupBy(label).agg(

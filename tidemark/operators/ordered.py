@@ -36,6 +36,21 @@ def order_buckets(df: DataFrame, value: str, buckets: int | None = None, column:
     return placed.withColumn(column, F.col(column).cast("int"))
 
 
+def ordered_places(df: DataFrame, order: Sequence[Column | str], place: str = "place") -> DataFrame:
+    """Add the 1-based place of each row in a total order of all rows.
+
+    A distributed sort into ranges, written once; counts per range give each range's start, and inside a range rows are
+    numbered as they lie. No window holds rows.
+    """
+    ordered = df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    ordered = stage_table(ordered, "ordered")
+    parts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = parts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_start"))
+    placed = ordered.join(starts, "_part").withColumn(place, F.col("_start") + F.col("_at"))
+    return placed.drop("_part", "_at", "_start")
+
+
 def cumulative(
     df: DataFrame,
     order: str,

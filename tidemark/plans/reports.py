@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as s
@@ -33,6 +33,34 @@ def sentiment_report(scored: DataFrame, confident: float = 0.9) -> dict[str, Dat
     }
 
 
+def sentiment_summary(scored: DataFrame, confident: float = 0.9) -> DataFrame:
+    """The figures of :func:`sentiment_report` per label and for all rows (label ``all``) from one aggregate.
+
+    Accuracies are over rows that are not neutral; rows without a label are a group of their own, with a null label.
+    """
+    hit = sentiment_hit(F.col("sentiment"), F.col(_MOVE)).cast("double")
+    decided = F.coalesce(F.col("sentiment") != "neutral", F.lit(False))
+    sure = decided & F.coalesce((F.col("confidence") > confident) & ~F.isnan("confidence"), F.lit(False))
+    rows = scored.select("sentiment", _MOVE, hit.alias("_hit"), decided.alias("_decided"), sure.alias("_sure"))
+    made = rows.groupingSets([("sentiment",), ()], "sentiment").agg(
+        F.grouping("sentiment").alias("_all"),
+        F.count("*").alias("n"),
+        F.avg(_MOVE).alias("mean_move"),
+        F.stddev_samp(_MOVE).alias("std_move"),
+        (F.stddev_samp(_MOVE) / F.sqrt(F.count(_MOVE))).alias("se_move"),
+        F.min(_MOVE).alias("lowest_move"),
+        F.max(_MOVE).alias("highest_move"),
+        F.count_if("_decided").alias("n_decided"),
+        F.avg(F.when(F.col("_decided"), F.col("_hit"))).alias("accuracy"),
+        F.count_if("_sure").alias("n_confident"),
+        F.avg(F.when(F.col("_sure"), F.col("_hit"))).alias("accuracy_confident"),
+    )
+    label = F.when(F.col("_all") == 1, F.lit("all")).otherwise(F.col("sentiment"))
+    # One row per label: the window is over the aggregate, and the row of all is its largest.
+    pct = F.try_divide(F.col("n"), F.max("n").over(Window.partitionBy())) * 100
+    return made.withColumns({"sentiment": label, "pct": pct}).drop("_all")
+
+
 def direction_report(predicted: DataFrame, label: str = "predicted_direction") -> dict[str, DataFrame]:
     """Evaluation of up/down/stable predictions: distributions with the dead band, accuracy on up and down only."""
     labelled = predicted.withColumns(
@@ -141,6 +169,40 @@ def prediction_diagnosis(
     }
 
 
+def prediction_summary(
+    predicted: DataFrame, threshold: float = 0.05, actual: str = s.TARGET, prediction: str = "predicted"
+) -> DataFrame:
+    """Near-zero predictions against the others, from one aggregate per (symbol, group): errors, hits, dates, symbols,
+    symbols that occur in no other group, and the share of the symbol with most rows.
+
+    Rows without a target or a prediction take no part.
+    """
+    known = predicted.where(F.col(actual).isNotNull() & F.col(prediction).isNotNull())
+    error = F.col(actual).cast("double") - F.col(prediction)
+    core = known.groupBy("symbol", evaluation.magnitude_group(F.col(prediction), threshold).alias("pred_group")).agg(
+        F.count("*").alias("_n"),
+        F.sum(error * error).alias("_square"),
+        F.sum(F.abs(error)).alias("_abs"),
+        F.count_if((F.col(actual) > 0) == (F.col(prediction) > 0)).alias("_hits"),
+        F.min("prediction_date").alias("_first"),
+        F.max("prediction_date").alias("_last"),
+    )
+    # At most two rows a symbol.
+    groups = core.withColumn("_groups", F.count("*").over(Window.partitionBy("symbol")))
+    n = F.sum("_n")
+    return groups.groupBy("pred_group").agg(
+        n.alias("n"),
+        F.sqrt(F.sum("_square") / n).alias("rmse"),
+        (F.sum("_abs") / n).alias("mae"),
+        (F.sum("_hits") / n).alias("direction_accuracy"),
+        F.min("_first").alias("first_date"),
+        F.max("_last").alias("last_date"),
+        F.count("*").alias("symbols"),
+        F.count_if(F.col("_groups") == 1).alias("only_symbols"),
+        (F.max("_n") / n).alias("largest_share"),
+    )
+
+
 # Raw features compared between cohorts.
 _COHORT_FEATURES = [
     "is_total_revenue",
@@ -166,3 +228,29 @@ def attribution_report(
         "top_high": diagnosis.top_k(compared, "high_sum", 20, "feature"),
         "top_low": diagnosis.top_k(compared, "low_sum", 20, "feature"),
     }
+
+
+def attribution_summary(
+    attributions: DataFrame, features: Sequence[str], prediction: str = "predicted", threshold: float = 0.05
+) -> DataFrame:
+    """The tables of :func:`attribution_report` as one, from one aggregate: importance of every feature over all rows, with its
+    rank (ties by name), and in the high against the near-zero predictions of the train rows."""
+    train = F.coalesce(F.col(s.SPLIT) == "train", F.lit(False))
+    high = F.coalesce(F.abs(prediction) >= threshold, F.lit(False))
+    parts = {"importance": F.lit(True), "high_sum": train & high, "low_sum": train & ~high}
+    sums = attributions.select(
+        *[F.abs(f"shap_{c}").alias(f"_{i}") for i, c in enumerate(features)], *[p.alias(f"_is_{n}") for n, p in parts.items()]
+    ).agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col(f"_is_{n}"), F.col(f"_{i}"))), F.lit(0.0)).alias(f"_{n}{i}")
+            for i in range(len(features))
+            for n in parts
+        ]
+    )
+    rows = {c: [F.col(f"_{n}{i}") for n in parts] for i, c in enumerate(features)}
+    long = sums.select(diagnosis.melt(rows, list(parts), "feature"))
+    whole = Window.partitionBy()  # one row per feature
+    share = lambda c: F.try_divide(F.col(c), F.sum(c).over(whole)) * 100
+    made = long.withColumns({"pct": share("importance"), "high_pct": share("high_sum"), "low_pct": share("low_sum")})
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))
+    return made.withColumns({"place": place, "pct_diff": F.col("high_pct") - F.col("low_pct")})
