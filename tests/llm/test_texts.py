@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import random
+import re
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -231,3 +233,37 @@ def test_empty_tables(spark):
     assert simhash.near_duplicates(none).count() == 0
     assert rules.statistics(none).count() == 0
     assert pii.with_spans(pii.find(none), pii.learn(none)).count() == 0
+
+
+def _many_spans(n, seed=3):
+    """A text with ``n`` mixed values between words, some next to each other, and characters outside the first plane."""
+    draw = random.Random(seed)
+    values = [
+        lambda i: f"u{i}@m{i}.example.org", lambda i: f"10.{i % 300}.3.4", lambda i: f"+49 30 {1000000 + i}",
+        lambda i: "4111 1111 1111 1111", lambda i: f"token=aB3dE5fG7hJ9kL{i:05d}", lambda i: f"name{i}@host", lambda i: "\U0001f600é",
+    ]
+    return " ".join(draw.choice(values)(i) + draw.choice(["", ",", " word", "\U0001f600"]) for i in range(n))
+
+
+@pytest.mark.parametrize("n", [60, 700])
+def test_many_spans_in_a_long_text_equal_the_plain_search(spark, n):
+    """Slices of arrays, pieces of texts and the look-up by halving: same spans, same overlaps, same redacted text."""
+    text = _many_spans(n)
+    docs = spark.createDataFrame([(1, text), (2, "a@b.cd")], "doc_id int, text string")
+    found = pii.find(docs).where("doc_id = 1").first()
+    base = [(x["kind"], x["s"], x["e"]) for x in found["base"]]
+    assert base == plain.base_spans(text)
+    for x in found["candidates"]:
+        assert re.fullmatch(pii.PROPOSED[x["kind_name"]], text[x["s"] : x["e"]])
+    everything = pii.Model(((1.0, 0.0),), {kind: 0.0 for kind in pii.PROPOSED})
+    spans = [(x["kind"], x["s"], x["e"]) for x in pii.with_spans(pii.find(docs), everything).where("doc_id = 1").first()["spans"]]
+    free = [
+        (x["kind_name"], x["s"], x["e"]) for x in found["candidates"] if not any(s < x["e"] and x["s"] < e for _, s, e in base)
+    ]
+    assert spans == base + free and free
+    out, at = "", 0
+    for s, e, kind in sorted((s, e, kind) for kind, s, e in spans):
+        out += text[at : max(s, at)] + ("" if s < at else f"[{kind}]")
+        at = max(at, e)
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs, everything).collect()}
+    assert redacted == {1: out + text[at:], 2: "[email]"}
