@@ -267,3 +267,16 @@ def test_many_spans_in_a_long_text_equal_the_plain_search(spark, n):
         at = max(at, e)
     redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs, everything).collect()}
     assert redacted == {1: out + text[at:], 2: "[email]"}
+
+
+def test_word_hashes_do_not_depend_on_parts(monkeypatch):
+    texts = [b"", b" \t", b"a" * 16, b"a" * 16 + b" b", b"x " * 50 + b"y" * 300 + b" x", b" " * 40 + "é ü".encode(), b"b\x0bx\nx"]
+    for part in (16, 64, 1 << 20):
+        monkeypatch.setattr(repeats, "PART", part)
+        known = {}
+        for text in texts:
+            own, words_ = repeats.word_hashes(text).tolist(), text.split()
+            assert len(own) == len(words_)
+            for word, value in zip(words_, own):
+                assert known.setdefault(word, value) == value
+        assert len(set(known.values())) == len(known)

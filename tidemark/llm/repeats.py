@@ -38,26 +38,13 @@ WIDTH, PREFIX = 35, 8
 GROUP = 4_096
 #: Words of the longer prefixes.
 LONGER = (12, 18, 24, 30)
-#: Words a worker remembers the hash of. It only saves time.
-CACHE_WORDS = 200_000
+#: Bytes of a text that are hashed at once; longer texts go in parts that end at white space where they can.
+PART = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
-class _Hashes(dict):
-    """64-bit hash by word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
@@ -69,24 +56,55 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(factors)
 
 
+#: A number for each byte, none of them zero.
+_BYTES = _mixed(_powers(_ODD, 257)[1:])
+_STEPS, _BACK = _powers(_ODD, PART), _powers(_INVERSE, PART)
+_WHITE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+
+
+def _inside(codes: np.ndarray) -> np.ndarray:
+    """Hash of every word of a part, from running sums over its bytes."""
+    edges = np.flatnonzero(np.diff(_WHITE[codes], prepend=True, append=True))
+    first, stop = edges[::2], edges[1::2]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_BYTES[codes] * _STEPS[: len(codes)], out=sums[1:])
+    return _mixed((sums[stop] - sums[first]) * _BACK[first])
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of every word of a text."""
+    codes, found, at = np.frombuffer(text, np.uint8), [], 0
+    while len(codes) - at >= PART:
+        white = np.flatnonzero(_WHITE[codes[at : at + PART]])
+        if len(white):
+            found.append(_inside(codes[at : at + int(white[-1])]))
+            at += int(white[-1]) + 1
+        else:  # a word at least as long as a part has a hash of another kind wherever it stands
+            later = np.flatnonzero(_WHITE[codes[at + PART :]])
+            stop = at + PART + int(later[0]) if len(later) else len(codes)
+            found.append(np.array([xxhash.xxh3_64_intdigest(text[at:stop])], np.uint64))
+            at = stop
+    found.append(_inside(codes[at:]))
+    return np.concatenate(found)
+
+
 class Prints:
     """Hash of any run of words of a text in constant time, from running sums."""
 
-    def __init__(self, words: list[bytes]):
-        n = len(words)
-        values = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)
+    def __init__(self, values: np.ndarray):
+        n = len(values)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * _powers(_ODD, n), out=self.sums[1:])
-        self.back = _powers(_INVERSE, n + 1)
+        np.cumsum(values * (_STEPS[:n] if n <= PART else _powers(_ODD, n)), out=self.sums[1:])
+        self.back = _BACK[: n + 1] if n < PART else _powers(_INVERSE, n + 1)
 
     def runs(self, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return _mixed((self.sums[stop] - self.sums[first]) * self.back[first])
 
 
-def anchors(words: list[bytes], width: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, prefix hash, hash of the surroundings) of the smallest prefixes of all windows."""
-    n = len(words)
-    prints = Prints(words)
+def anchors(hashes: np.ndarray, width: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, prefix hash, hash of the surroundings) of the smallest prefixes of all windows of words with such hashes."""
+    n = len(hashes)
+    prints = Prints(hashes)
     starts = np.arange(n - prefix + 1)
     grams = prints.runs(starts, starts + prefix)
     # Smallest 8-gram of each window, leftmost among equal ones, by doubling the span.
@@ -119,9 +137,9 @@ def _anchor_rows(texts: DataFrame, width: int, prefix: int) -> DataFrame:
         for batch in slices(batches):
             parts = [[], [], [], []]
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("words")):
-                words = text.as_py().split()
-                if len(words) >= width:
-                    position, gram, around = anchors(words, width, prefix)
+                hashes = word_hashes(text.as_py())
+                if len(hashes) >= width:
+                    position, gram, around = anchors(hashes, width, prefix)
                     for part, own in zip(parts, (gram, around, np.full(len(position), rid), position)):
                         part.append(own)
             columns = [np.concatenate(p) if p else np.empty(0) for p in parts]
@@ -281,6 +299,17 @@ def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list
     return found
 
 
+def _covered(pos: np.ndarray, mask: np.ndarray, n: int, width: int, prefix: int) -> np.ndarray:
+    """Which of ``n`` words the marked windows over the anchors at ``pos`` cover."""
+    if not len(pos):
+        return np.zeros(n, bool)
+    before = np.arange(width - prefix + 1)
+    first = pos[:, None].astype(np.int64) - before
+    first = first[(mask[:, None] >> before & 1 > 0) & (first >= 0) & (first + width <= n)]
+    edge = np.bincount(first, minlength=n + 1) - np.bincount(first + width, minlength=n + 1)
+    return np.cumsum(edge[:n]) > 0
+
+
 def kept_words(
     docs: DataFrame,
     width: int = WIDTH,
@@ -320,7 +349,11 @@ def kept_words(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sizes, removed, kept = [], [], []
-            for text, at, copy in zip(batch.column("words"), batch.column("at").to_pylist(), batch.column("copied").to_pylist()):
+            at, copied = batch.column("at"), batch.column("copied").to_pylist()
+            spans = at.flatten()  # lists of null rows are left out
+            pos, mask = (spans.field(k).to_numpy() for k in ("pos", "mask"))
+            ends = np.cumsum(np.nan_to_num(at.value_lengths().to_numpy(zero_copy_only=False))).astype(int).tolist()
+            for row, (text, copy) in enumerate(zip(batch.column("words"), copied)):
                 text = text.as_py()
                 words = text.split()
                 n = len(words)
@@ -329,14 +362,8 @@ def kept_words(
                     removed.append(n)
                     kept.append(b"")
                     continue
-                edge = np.zeros(n + 1, np.int32)
-                for a in at or ():
-                    for before in range(width - prefix + 1):
-                        first = a["pos"] - before
-                        if a["mask"] >> before & 1 and 0 <= first and first + width <= n:
-                            edge[first] += 1
-                            edge[first + width] -= 1
-                gone = np.cumsum(edge[:n]) > 0
+                own = slice(ends[row - 1] if row else 0, ends[row])
+                gone = _covered(pos[own], mask[own], n, width, prefix)
                 sizes.append(n)
                 removed.append(int(gone.sum()))
                 stays = [w for w, g in zip(words, gone.tolist()) if not g] if removed[-1] else words
