@@ -7,8 +7,10 @@ anchors at equal offsets, and about one position in fourteen is an anchor. A pre
 cannot be part of a repeat. Equal surroundings of a prefix are counted before any text is shuffled, so a passage that a third
 of all texts share, or a text with thousands of copies, comes to a few rows; surroundings that occur twice make all their
 windows repeats. The different surroundings of a repeated prefix form a group. Groups are cut to what a task holds by prefixes
-of variable length: a group with too many surroundings is split by offset and by the first 12 words of its suffixes, parts
-that are still too large by 18, 24 and 30 words, and what agrees in all words of a window is one node without sorting.
+of variable length: a group with too many surroundings is split into the windows that begin near the anchor and those that
+begin further before it. All windows of a half share more words than the 8 of the anchor, and these make the longer prefix;
+parts that are still too large are halved again (8, 22, 29, 32, 34 words), and what agrees in all words of a window is one node
+without sorting.
 
 In a group the suffixes that begin at the windows over the anchor are sorted; the common prefixes of neighbours give the inner
 nodes of the suffix tree. Nodes at least ``width`` words deep are the repeats: each window at which a suffix below such a node
@@ -36,8 +38,6 @@ from tidemark.session import stage_path, stage_table
 WIDTH, PREFIX = 35, 8
 #: Different surroundings of one prefix that one task sorts; groups of more are split by longer prefixes.
 GROUP = 4_096
-#: Words of the longer prefixes.
-LONGER = (12, 18, 24, 30)
 #: Bytes of a text that are hashed at once; longer texts go in parts that end at white space where they can.
 PART = 1 << 20
 
@@ -173,11 +173,12 @@ def _surroundings(texts: DataFrame, wanted: DataFrame, width: int, prefix: int)
     return rows.mapInArrow(run, "h long, around long, left int, words binary")
 
 
-def window_suffixes(left: int, words: bytes, width: int, prefix: int) -> Iterator[tuple[int, bytes]]:
-    """(words before the anchor, the suffix) at the start of every window over an anchor; each word ends with a space."""
+def window_suffixes(left: int, words: bytes, width: int, low: int, high: int) -> Iterator[tuple[int, bytes]]:
+    """(words before the anchor, the suffix) at the start of every window that begins ``low`` to ``high`` words before an anchor;
+    each word ends with a space."""
     parts = words.split(b" ")
     ends = np.cumsum([len(p) + 1 for p in parts]).tolist()
-    for before in range(min(left, width - prefix) + 1):
+    for before in range(low, min(left, high) + 1):
         first = left - before
         if first + width <= len(parts):
             yield before, words[(ends[first - 1] if first else 0) :] + b" "
@@ -210,12 +211,13 @@ def internal_nodes(suffixes: list[bytes]) -> Iterator[tuple[int, int, int, int]]
             stack.append((depth, first))
 
 
-def deep_nodes(group: list[tuple[int, bytes]], width: int, prefix: int) -> list[int]:
-    """For each (left, words) around one prefix, a bit for every window over it that begins below a node of its depth."""
+def deep_nodes(group: list[tuple[int, bytes]], width: int, low: int, high: int) -> list[int]:
+    """For each (left, words) around one prefix, a bit for every window that begins ``low`` to ``high`` words before it and below
+    a node of its depth."""
     masks = [0] * len(group)
     by_offset: dict[int, list[tuple[bytes, int]]] = {}
     for row, (left, words) in enumerate(group):
-        for before, suffix in window_suffixes(left, words, width, prefix):
+        for before, suffix in window_suffixes(left, words, width, low, high):
             by_offset.setdefault(before, []).append((suffix, row))
     for before, leaves in by_offset.items():
         if len(leaves) < 2:
@@ -255,47 +257,49 @@ def _grouped(rows: DataFrame, key: str, masks_of) -> DataFrame:
 
 def _trees(around: DataFrame, width: int, prefix: int) -> DataFrame:
     """``h, around, mask`` from one tree per prefix."""
-    return _grouped(around, "h", lambda group: deep_nodes([(r["left"], r["words"]) for r in group], width, prefix))
+    return _grouped(around, "h", lambda group: deep_nodes([(r["left"], r["words"]) for r in group], width, 0, width - prefix))
+
+
+def halves(left: int, words: bytes, width: int, low: int, high: int) -> Iterator[tuple[int, int, bytes]]:
+    """(low, high, the words that all windows between them share) for both halves of a range of offsets, where a window begins."""
+    parts = words.split(b" ")
+    middle = (low + high) // 2
+    for a, b in ((low, middle), (middle + 1, high)):
+        if max(a, left + width - len(parts)) <= min(b, left):
+            yield a, b, b" ".join(parts[left - a : left + width - b])
 
 
 def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list[DataFrame]:
-    """The same for prefixes with many surroundings: suffixes by offset and longer and longer beginnings, until a part fits."""
+    """The same for prefixes with many surroundings: ranges of offsets are halved, which makes prefixes longer, until a part fits."""
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = ([], [], [], [])
+            out = ([], [], [], [], [], [], [])
             for row in batch.to_pylist():
-                for before, suffix in window_suffixes(row["left"], row["words"], width, prefix):
-                    for part, value in zip(out, (row["h"], row["around"], before, suffix)):
+                for low, high, shared in halves(row["left"], row["words"], width, row["low"], row["high"]):
+                    name = b"%d %d %b" % (row["h"], low, shared)
+                    own = (row["h"], row["around"], row["left"], row["words"], low, high, xxhash.xxh3_128_digest(name))
+                    for part, value in zip(out, own):
                         part.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=["h", "around", "before", "suffix"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+            names = ["h", "around", "left", "words", "low", "high", "part"]
+            yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=names)
 
     def masks_of(rows: list[dict]) -> list[int]:
-        order = sorted(range(len(rows)), key=lambda k: rows[k]["suffix"])
-        masks = [0] * len(rows)
-        for depth, above, first, stop in internal_nodes([rows[k]["suffix"] for k in order]):
-            if depth >= width > above:
-                for k in order[first:stop]:
-                    masks[k] = 1 << rows[k]["before"]
-        return masks
-
-    rest = stage_table(around.mapInArrow(suffixes, "h long, around long, before int, suffix binary"), "suffixes")
-    found = []
-    for length in (*(n for n in LONGER if prefix < n < width), width):
+        return deep_nodes([(r["left"], r["words"]) for r in rows], width, rows[0]["low"], rows[0]["high"])
+
+    schema = "h long, around long, left int, words binary, low int, high int, part binary"
+    rest, span, found = around.withColumns({"low": F.lit(0), "high": F.lit(width - prefix)}), width - prefix + 1, []
+    while span > 1:
+        rest, span = stage_table(rest.mapInArrow(split, schema), "halves"), -(-span // 2)
         if rest.isEmpty():
             break
-        beginning = F.substring_index(F.decode("suffix", "UTF-8"), " ", length)
-        rest = rest.withColumn("part", F.md5(F.concat_ws(" ", F.col("h").cast("string"), F.col("before").cast("string"), beginning).cast("binary")))
-        sizes = stage_table(rest.groupBy("part").agg(F.count("*").alias("n")).where("n > 1"), "part-sizes")
-        if length == width:
-            # All words of a window agree: a node whose leaves need no sorting.
-            hits = rest.join(sizes, "part").select("h", "around", F.expr("shiftleft(1L, before)").alias("mask"))
-            found.append(hits)
-            break
-        fits = rest.join(sizes.where(F.col("n") <= group).select("part"), "part")
-        found.append(_grouped(fits, "part", masks_of))
-        rest = stage_table(rest.join(sizes.where(F.col("n") > group).select("part"), "part").drop("part"), "suffixes")
+        large = stage_table(rest.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > max(group, 1)).select("part"), "large-parts")
+        found.append(_grouped(rest.join(large, "part", "left_anti"), "part", masks_of))
+        rest = rest.join(large, "part", "left_semi")
+        # All words of a window agree: a node whose leaves need no sorting.
+        found.append(rest.where("low = high").select("h", "around", F.expr("shiftleft(1L, low)").alias("mask")))
+        rest = rest.where("low < high")
     return found
 
 
