@@ -2,6 +2,7 @@
 
 import json
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -178,6 +179,25 @@ def test_tiles_are_exact_for_long_vectors():
     assert (col.reshape(5, 20) == exact).all()
 
 
+@pytest.mark.parametrize("kind", ["equal", "one id", "close"])
+def test_tiles_of_repeated_ids_and_vectors_stay_small(kind):
+    rng = np.random.default_rng(9)
+    own, base = rng.normal(size=(2048, 64)), rng.normal(size=64)
+    other = base + rng.normal(size=(8192, 64)) * {"equal": 0.0, "one id": 1.0, "close": 1e-6}[kind]
+    ids = np.full(8192, 7) if kind == "one id" else np.arange(10_000, 18_192)
+    tracemalloc.start()
+    row, col, score = neighbours.best_in_tile(own, np.arange(2048) + 100_000, other, ids, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+    exact = np.zeros((50, 8192))
+    for d in range(64):
+        exact += own[:50, d, None] * other[:, d]
+    for i in range(50):
+        best = sorted(set(zip((-exact[i]).tolist(), ids.tolist())))[:20]
+        assert [(-s, j) for s, j in zip(score[row == i].tolist(), col[row == i].tolist())] == best
+
+
 SCHEMAS = {"find": {"city": ("string", True), "days": ("integer", False)}}
 
 

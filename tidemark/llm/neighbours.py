@@ -5,6 +5,10 @@ int8, a tile of integer products gives all inner products with proven error boun
 the k-th best are dropped, and the survivors are recomputed in double precision on the original vectors. Each task keeps its
 k best per query; the sorted runs of all tasks are then merged by a heap. The result is exact.
 
+Repeated vectors cost nothing: of equal candidates of a block only those with the k + 1 smallest ids can be among the k nearest
+of a query (one may be the query itself). Where very many pairs survive the bounds, as among vectors that differ by less than a
+code does, they are recomputed in slices of ``PAIRS``.
+
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part, as query or as
 candidate; only vectors of one length are compared; rows with the query's own id are no candidates for it; repeated rows of an
 id and vector count once; ties go to the smaller id; a query with fewer than k candidates gets them all; an empty table gives
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a block, so a task holds two blocks and one tile at a time.
 QUERY_BLOCK, CANDIDATE_BLOCK, TILE = 8_192, 32_768, 1_024
+#: Pairs whose vectors are gathered at once.
+PAIRS = 1 << 17
 #: Products of two int8 codes are summed in float32, which is exact for so many of them.
 EXACT_TERMS = 1_024
 
@@ -62,8 +68,23 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
+def telling(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Places, in order of their ids, of the rows that can be among the k nearest of a query with another id."""
+    whole = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel()
+    kind = np.unique(whole, return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, kind))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(kind[order]) != 0) | (np.diff(ids[order]) != 0)
+    order = order[new]
+    first = np.searchsorted(kind[order], kind[order])
+    order = order[np.arange(len(order)) - first <= k]
+    return order[np.argsort(ids[order], kind="stable")]
+
+
 def best_in_tile(queries, ids, candidates, candidate_ids, k):
     """(query row, candidate id, score) of each query's k best, best first within a query."""
+    use = telling(candidate_ids, candidates, k)
+    candidates, candidate_ids = candidates[use], candidate_ids[use]
     q_codes, c_codes = Codes(queries), Codes(candidates)
     floor = np.full(len(ids), -np.inf)
     kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
@@ -77,31 +98,42 @@ def best_in_tile(queries, ids, candidates, candidate_ids, k):
         )
         own = ids[:, None] == candidate_ids[part]
         lower, upper = np.where(own, -np.inf, middle - slack), np.where(own, -np.inf, middle + slack)
-        if lower.shape[1] >= k:
-            # The k-th best of a row only counts as a floor for distinct ids; repeated ids are rare and merely keep more.
-            distinct = len(np.unique(candidate_ids[part])) == lower.shape[1]
-            if distinct:
-                floor = np.maximum(floor, np.partition(lower, lower.shape[1] - k, axis=1)[:, -k])
-        row, col = np.nonzero((upper >= floor[:, None]) & ~own)
-        left, right = queries[row], candidates[part][col]
-        score = left[:, 0] * right[:, 0]
-        for d in range(1, left.shape[1]):  # in the order of the components, as a plain sum does
-            score += left[:, d] * right[:, d]
-        merged = [np.concatenate(x) for x in zip(kept, (row, candidate_ids[part][col], score))]
-        order = np.lexsort((merged[1], -merged[2], merged[0]))
-        row, col, score = (x[order] for x in merged)
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (col[1:] != col[:-1]) | (score[1:] != score[:-1])
-        row, col, score = row[new], col[new], score[new]
-        first = np.searchsorted(row, np.arange(len(ids)))
-        keep = np.arange(len(row)) - first[row] < k
-        kept = row, col, score = row[keep], col[keep], score[keep]
+        # A floor needs k different ids: rows of one id stand side by side and count once, with their best bound.
+        firsts = np.flatnonzero(np.diff(candidate_ids[part], prepend=candidate_ids[at] - 1))
+        best = lower if len(firsts) == lower.shape[1] else np.maximum.reduceat(lower, firsts, axis=1)
+        if best.shape[1] >= k:
+            floor = np.maximum(floor, np.partition(best, best.shape[1] - k, axis=1)[:, -k])
+        rows, cols = np.nonzero((upper >= floor[:, None]) & ~own)
+        for low in range(0, len(rows), PAIRS):
+            row, col = rows[low : low + PAIRS], cols[low : low + PAIRS]
+            kept = _merged(kept, (row, candidate_ids[part][col], _scores(queries, row, candidates[part], col)), len(ids), k)
+        row, _, score = kept
         count = np.bincount(row, minlength=len(ids))
         full = np.nonzero(count >= k)[0]
         floor[full] = np.maximum(floor[full], score[np.searchsorted(row, full) + k - 1])
     return kept
 
 
+def _scores(queries, row, candidates, col) -> np.ndarray:
+    left, right = queries[row], candidates[col]
+    score = left[:, 0] * right[:, 0]
+    for d in range(1, left.shape[1]):  # in the order of the components, as a plain sum does
+        score += left[:, d] * right[:, d]
+    return score
+
+
+def _merged(kept, more, n: int, k: int):
+    """The k best of each of ``n`` query rows among what was kept and what has come."""
+    row, col, score = (np.concatenate(x) for x in zip(kept, more))
+    order = np.lexsort((col, -score, row))
+    row, col, score = row[order], col[order], score[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (col[1:] != col[:-1]) | (score[1:] != score[:-1])
+    row, col, score = row[new], col[new], score[new]
+    keep = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row] < k
+    return row[keep], col[keep], score[keep]
+
+
 def nearest(
     table: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
