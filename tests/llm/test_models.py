@@ -182,11 +182,11 @@ def test_tiles_are_exact_for_long_vectors():
 @pytest.mark.parametrize("kind", ["equal", "one id", "close"])
 def test_tiles_of_repeated_ids_and_vectors_stay_small(kind):
     rng = np.random.default_rng(9)
-    own, base = rng.normal(size=(2048, 64)), rng.normal(size=64)
+    own, base = rng.normal(size=(512, 64)), rng.normal(size=64)
     other = base + rng.normal(size=(8192, 64)) * {"equal": 0.0, "one id": 1.0, "close": 1e-6}[kind]
     ids = np.full(8192, 7) if kind == "one id" else np.arange(10_000, 18_192)
     tracemalloc.start()
-    row, col, score = neighbours.best_in_tile(own, np.arange(2048) + 100_000, other, ids, 20)
+    row, col, score = neighbours.best_in_tile(own, np.arange(512) + 100_000, other, ids, 20)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 400 << 20
@@ -226,6 +226,7 @@ def test_tool_calls_are_linked_ordered_and_validated(spark):
         (1, "a"): (0, "linked", True, 1), (1, "b"): (1, "open", False, 0), (1, "c"): (2, "open", False, 0),
         (1, "d"): (3, "open", False, 1), (1, "e"): (0, "open", False, 0), (1, "f"): (None, "open", False, 0),
         (1, "g"): (None, "open", False, 0), (1, "z"): (None, "stray", False, 0), (2, "a"): (0, "linked", True, 0),
+        (None, "a"): (0, "open", True, 0),
     }
     line = {"arguments": {"city": "Rom\n", "days": 3}, "id": "a", "result": "sunny", "step": 0, "tool": "find", "valid": True}
     assert found[1, "a"]["json"] == json.dumps(line, separators=(",", ":"), sort_keys=True)
@@ -233,6 +234,46 @@ def test_tool_calls_are_linked_ordered_and_validated(spark):
     assert none.count() == 0
 
 
+def test_rows_without_keys_come_back(spark):
+    calls = spark.createDataFrame(
+        [(None, "a", 1, "find", '{"city": "y"}', "b"), (1, None, 2, "find", "{}", "a"), (1, None, 2, "find", "{}", "a")],
+        "conv_id long, call_id string, place long, tool string, arguments string, after string",
+    )
+    results = spark.createDataFrame([(None, "a", 1, "x"), (1, None, 1, "y")], "conv_id long, call_id string, place long, content string")
+    found = sorted((r["conv_id"] or 0, r["call_id"] or "", r["status"], r["step"], r["valid"], r["repeats"]) for r in tool_calls.link(calls, results, SCHEMAS).collect())
+    assert found == [
+        (0, "a", "open", 0, True, 0), (0, "a", "stray", None, False, 0),
+        (1, "", "open", 0, False, 0), (1, "", "open", 0, False, 0), (1, "", "stray", None, False, 0),
+    ]
+
+
+def plain_steps(after):
+    """Longest path to every call by definition; null on and behind cycles."""
+    known, left = {}, dict(after)
+    while ready := [c for c, before in left.items() if all(b in known or b not in after for b in before)]:
+        known |= {c: max((known[b] + 1 for b in left[c] if b in after), default=0) for c in ready}
+        left = {c: b for c, b in left.items() if c not in known}
+    return known | dict.fromkeys(left)
+
+
+def test_steps_of_calls_that_need_several_results(spark):
+    rng = random.Random(12)
+    graphs = {g: {i: [rng.randrange(-2, i + (2 if g % 3 else 0)) for _ in range(rng.choice((0, 1, 1, 1, 2, 3)))] for i in range(40)} for g in range(6)}
+    graphs[6] = {0: [], 1: [0], 2: [1], 3: [2], 4: [0, 3, 3, None], 5: [4], 6: [5, 0], 7: [7], 8: [7, 0], 9: [10], 10: [9], 11: [10], 12: None}
+    rows = [(g, i, after) for g, calls in graphs.items() for i, after in calls.items()]
+    found = tool_calls.steps(spark.createDataFrame(rows, "conv_id int, call_id int, after array<int>")).collect()
+    assert len(found) == len(rows)
+    for g, calls in graphs.items():
+        assert {r["call_id"]: r["step"] for r in found if r["conv_id"] == g} == plain_steps({i: [x for x in a or [] if x is not None] for i, a in calls.items()})
+
+
+def test_exchanges_take_turns_of_any_role(spark):
+    turns = [(1, 0, "tool", "a"), (1, 1, None, "b"), (1, 2, "assistant", "c"), (None, 3, "user", "d"), (1, None, "assistant", None)]
+    calls, results = tool_calls.exchanges(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string"))
+    found = sorted((r["conv_id"] or 0, r["call_id"] or 0, r["status"]) for r in tool_calls.link(calls, results, tool_calls.REPLY).collect())
+    assert found == [(0, 3, "open"), (1, 0, "open"), (1, 0, "stray"), (1, 1, "linked")]
+
+
 def test_steps_of_a_long_chain(spark):
     calls = spark.createDataFrame([(1, i, i - 1) for i in range(300)], "conv_id int, call_id int, after int")
     assert all(r["step"] == r["call_id"] for r in tool_calls.steps(calls).collect())

@@ -137,7 +137,7 @@ WITH RECURSIVE turns AS (
     SELECT a.conv_id, a.turn AS call_id, a.said,
            a.turn - CASE WHEN EXISTS (SELECT 1 FROM answers b WHERE b.conv_id = a.conv_id AND b.call_id = a.turn - 2)
                          THEN 2 ELSE 1 END AS after
-    FROM turns a WHERE a.role IN ('user', 'system')
+    FROM turns a WHERE a.role IS DISTINCT FROM 'assistant'
 ), steps AS (
     SELECT conv_id, call_id, said, CAST(0 AS BIGINT) AS step FROM calls c
     WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
