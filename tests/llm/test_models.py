@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import plain
 from tidemark.llm import neighbours, quality_model, rules, tool_calls, toxicity
+from tidemark.llm.common import smallest
 
 SF = "/root/testdata/sf0.01"
 
@@ -94,6 +95,13 @@ def test_segments_equal_their_definition():
         assert found == [(a, b, round(s, 6)) for a, b, s in segments_by_definition(values)]
 
 
+def test_smallest_is_a_sorted_limit(spark):
+    rows = spark.range(3000).select((F.col("id") % 700).alias("id"), F.xxhash64(F.col("id") % 700).alias("mark"))
+    for n in (1, 50, 2999, 5000):
+        assert smallest(rows, "mark", ["id"], n).collect() == rows.orderBy("mark", "id").limit(n).collect()
+    assert smallest(rows.limit(0), "mark", ["id"], 5).count() == 0
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(3)
     rows, labels = [], []

@@ -6,6 +6,8 @@ passages. By extreme-value theory the number of segments of score s to expect by
 a text's evidence is the sum of how far its segments lie beyond that, and a logistic curve over it gives the final score.
 
 The model is learnt from at most ``SAMPLE`` labelled rows, those with the smallest hash of their id; all texts are scored whole.
+Every significant token of those rows is in the lexicon, so that is bounded by the words of the sample and does not grow with
+the corpus.
 
 Defined cases: a null or empty text, or one without tokens, has no passages and no evidence; labels that are null, or whose id
 is not in the documents, teach nothing; with labels of one kind only (or none), every score is the smoothed share of toxic
@@ -23,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts_of
+from tidemark.llm.common import smallest, texts_of
 from tidemark.session import stage_table
 
-#: Labelled rows the model is learnt from, and tokens of its lexicon (both are sent to every task).
-SAMPLE, LEXICON = 50_000, 20_000
+#: Labelled rows the model is learnt from.
+SAMPLE = 50_000
 #: Prior count of every token, weight of the pooled prior in tokens, and the least z-score and log-odds of a toxic token.
 FLAT, POOLED, LEAST_Z, LEAST_ODDS = 0.5, 500.0, 3.5, 2.0
 _FLUSH = 300_000
@@ -164,7 +166,8 @@ def score(
     such rows are not used."""
     rows = texts_of(docs, id_column, text_column)
     given = labels.select(labels[id_column].alias("doc_id"), labels[label_column].cast("int").alias("label"))
-    given = given.where(F.col("label").isin(0, 1) & ~held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    given = given.where(F.col("label").isin(0, 1) & ~held_out).withColumn("mark", F.xxhash64("doc_id"))
+    given = smallest(given, "mark", ["doc_id", "label"], sample).drop("mark")
     # At most ``sample`` pairs of numbers, so this side may be sent to every task whatever the size of the corpus.
     taught = stage_table(rows.join(F.broadcast(given), "doc_id").select("text", "label"), "taught")
     kinds = dict(taught.groupBy("label").count().collect())
@@ -179,7 +182,7 @@ def score(
     toxic, clean = toxic or 0, clean or 0
     chosen = (
         log_odds(counts, toxic, clean).where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_ODDS))
-        .orderBy(F.desc("z"), "token").limit(LEXICON).select("token", "score", "toxic", "clean").collect()
+        .orderBy(F.desc("z"), "token").select("token", "score", "toxic", "clean").collect()
     )
     lexicon = {bytes(r["token"]): r["score"] for r in chosen}
     # The tokens outside share the log-odds of being outside; at least a little below zero.
