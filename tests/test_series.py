@@ -1,6 +1,7 @@
 """Chunked windows and exponential means against brute force, with chunks and blocks far shorter than the series."""
 
 import datetime
+import math
 
 import numpy as np
 import pandas as pd
@@ -253,3 +254,22 @@ def test_no_look_ahead(spark):
     a = by_day(full.filter(F.col("bar_date") <= cut), s.INDICATOR_FEATURES)
     b = by_day(part, s.INDICATOR_FEATURES)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_positions_and_means_join_no_rows(spark):
+    """Block offsets and chunk states travel as rows of their own; keys may be null, and a key may have several blocks."""
+    days = [f"19{y:02d}-03-0{d}" for y in (71, 77, 84, 90) for d in range(1, 6)]
+    rows = [(k, d, float(i) if i % 3 else None) for k in ("a", None) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "symbol string, day string, x double").withColumn("day", F.to_date("day"))
+    numbered = series.number_rows(df, ["symbol"], "day")
+    made = series.with_ema(numbered, ["symbol"], F.col("x"), {3: "mean"}, chunk_rows=4)
+    for frame in (numbered, made):
+        assert "Join" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert made.columns == [*numbered.columns, "mean"]
+    values = [i if i % 3 else math.nan for i in range(len(days))]
+    expected = pd.Series(values, dtype=float).ewm(span=3, adjust=False).mean()
+    for key in ("a", None):
+        own = sorted((r for r in made.collect() if r["symbol"] == key), key=lambda r: r["day"])
+        assert [r["_pos"] for r in own] == list(range(len(days)))
+        assert [r["mean"] is None for r in own] == [math.isnan(v) for v in expected]
+        assert all(abs(r["mean"] - v) < 1e-9 for r, v in zip(own, expected) if not math.isnan(v))
