@@ -175,3 +175,25 @@ def test_split_ranges(spark):
     df = spark.createDataFrame([("train", D(2024, 1, 1), D(2024, 1, 5)), ("train", D(2024, 2, 1), D(2024, 2, 5))], "split string, prediction_date date, target_date date")
     row = feature_set.split_ranges(df).first()
     assert (row["first_pred"], row["last_target"]) == (D(2024, 1, 1), D(2024, 2, 5))
+
+
+def test_forecasts_join_the_narrow_rows(spark):
+    """Statement and macro columns are not dealt anew for the forecasts, and names on both sides of the statements do not clash."""
+    days = [D(1997, 5, 1), D(1997, 5, 2)]
+    bars = spark.createDataFrame([("A", d, 1.0, 2.0, 0.5, 1.5, 9.0, 1.0, 1.2) for d in days],
+        "symbol string, bar_date date, open double, high double, low double, close double, volume double, trade_count double, vwap double")
+    forecasts = spark.createDataFrame([("A", days[0], 1.0, 3), ("A", days[0], 2.0, 1), ("B", days[1], 5.0, 7)],
+        "symbol string, prediction_date date, predicted_return double, fiscal_period_end int")
+    scored = spark.createDataFrame([("A", D(1997, 4, 30), "positive", 0.5), ("A", D(1997, 5, 2), "negative", 0.7)],
+        "symbol string, news_date date, sentiment string, confidence double")
+    vintages = spark.createDataFrame([], "series_id string, date date, realtime_start date, realtime_end date, value double")
+    tables = [bars, income(spark, [("A", D(1996, 12, 31), {"Net Income": 5.0})]), empty(spark, "balance_sheet"), empty(spark, "cashflow"),
+        earnings(spark, [("A", D(1997, 2, 1), 1.0, 3.0, 0.1)]), vintages, {p: (scored, "confidence") for p in s.SENTIMENT_PREFIXES}]
+    plain = feature_set.point_in_time_features(*tables)
+    made = feature_set.point_in_time_features(*tables, forecasts=forecasts)
+    joins = [f._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in (plain, made)]
+    assert joins[0] == joins[1]
+    assert made.columns == [*plain.columns, "predicted_return", "fiscal_period_end"]
+    rows = {r["prediction_date"]: r for r in made.collect()}
+    assert [(rows[d]["predicted_return"], rows[d]["fiscal_period_end"]) for d in days] == [(2.0, 1), (None, None)]
+    assert [rows[d]["finbert_positive_count"] for d in days] == [1, None] and all(rows[d]["is_net_income"] == 5.0 for d in days)
