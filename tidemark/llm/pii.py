@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import prepare, smallest, texts_of
+from tidemark.llm.common import prepare, texts_of
 from tidemark.session import stage_table
 
 #: Same matches as the plain patterns. Looking back keeps a search from starting again within a run that has failed, and runs
@@ -49,8 +49,8 @@ _AROUND = 24
 FEATURES = [
     "kind", "length", "digits", "upper", "lower", "marks", "hexadecimal", "changes", "groups", "plus", "points", "assigned", "quoted", "closed", "luhn",
 ]
-#: Candidates the trees are taught on at most, those with the smallest hash, and the precision a threshold must reach.
-SAMPLE, PRECISION = 20_000, 0.95
+#: Different candidates that a task of the fit gets at most, in the mean, and the precision a threshold must reach.
+TASK_ROWS, PRECISION = 10_000, 0.95
 
 Spans = Column
 #: Items of an array that are worked through at once; characters of a piece of a long text, and from where a text is long.
@@ -291,8 +291,8 @@ def _tree(lines: list[str]):
     return int(feature), float(threshold), left, _tree(lines)
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> Model:
-    """Trees and thresholds from at most ``sample`` candidates of ``docs``."""
+def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Model:
+    """Trees and thresholds from all candidates of ``docs``: three in four different ones teach, the others test."""
     found = find(docs, id_column, text_column).where(F.size("candidates") > 0)
 
     def labelled(candidates: Column, overlaps: Callable[[Column], Column]) -> Column:
@@ -303,12 +303,15 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text
     rows = found.select(F.explode(_judged(F.col("base"), F.col("candidates"), labelled)).alias("x")).select("x.*")
     # Copies repeat candidates; the hash over the features keeps each kind of candidate once.
     rows = rows.groupBy("kind_name", "f").agg(F.max("label").alias("label")).withColumn("mark", F.xxhash64("kind_name", "f"))
-    rows = stage_table(smallest(stage_table(rows, "all-candidates"), "mark", ["kind_name", "label"], sample), "candidates")
+    # Written in the order of the hash, in parts of bounded size: the fit meets the same rows in the same order in every run.
+    rows = stage_table(rows, "all-candidates")
+    tasks = max(2, -(-rows.count() // TASK_ROWS))
+    rows = stage_table(rows.repartitionByRange(tasks, "mark").sortWithinPartitions("mark", "kind_name", "label"), "candidates")
     taught, tested = rows.where(F.pmod("mark", F.lit(4)) != 0), rows.where(F.pmod("mark", F.lit(4)) == 0)
     if taught.select("label").distinct().count() < 2:
         return Model((), {})
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
-        taught.select("label", *[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(FEATURES)]).coalesce(2)
+        taught.select("label", *[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(FEATURES)])
     )
     fitted = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, maxBins=32).fit(vectors)
     trees = tuple((w, _tree(t.toDebugString.strip().split("\n")[1:])) for w, t in zip(fitted.treeWeights, fitted.trees))
