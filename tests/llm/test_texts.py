@@ -6,7 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +136,18 @@ def test_repeats(docs, rows):
         assert Counter((r["doc_id"], (r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest())) for r in found) == expected
 
 
+def test_large_groups_are_split_without_joins(spark):
+    rows = [(i % 2, i, 2, " ".join(["a", "b", *"pqr", *(f"w{i}{k}" for k in range(4))]).encode()) for i in range(8)]
+    around = spark.createDataFrame(rows, "h long, around long, left int, words binary")
+    for part in repeats._split_trees(around, 6, 3, 2):
+        assert "Join" not in part._jdf.queryExecution().optimizedPlan().toString()
+        # Windows of 6 words from the first or the second word on have w<i>0 in them, so none is a repeat.
+        assert part.count() == 0
+    same = around.withColumn("words", F.lit(b"a b p q r s t u v"))
+    marked = reduce(lambda a, b: a.unionByName(b), repeats._split_trees(same, 6, 3, 2))
+    assert {(r["around"], r["m"]) for r in marked.groupBy("around").agg(F.bit_or("mask").alias("m")).collect()} == {(i, 7) for i in range(8)}
+
+
 def test_repeats_within_one_text(spark):
     text = " ".join(f"w{i % 50}" for i in range(200)) + " end"
     found = repeats.remove_repeats(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
@@ -225,6 +237,32 @@ def test_trees_add_assigned_secrets_and_redact(spark):
     assert pii.redact(spark.createDataFrame([(1, None)], "doc_id int, text string"), model).first()["text"] is None
 
 
+def test_all_candidates_reach_the_fit(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    kinds = ["0123456789", "abcdefghij", "ABCDEFGHIJ", "_/+-"]
+    one = lambda: "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(60, 99))) + "0"
+    docs = spark.createDataFrame([(i, " ".join(one() for _ in range(300))) for i in range(100)], "doc_id int, text string")
+    different = pii.find(docs).select(F.explode("candidates").alias("x")).select("x.kind_name", "x.f").distinct().count()
+
+    class Seen(Exception):
+        pass
+
+    class Fit:
+        def __init__(self, **options):
+            pass
+
+        def fit(self, vectors):
+            raise Seen(vectors.count())
+
+    monkeypatch.setattr(pii, "GBTClassifier", Fit)
+    telling = docs.unionByName(spark.createDataFrame([(-1, 'token = "' + "a1" * 12 + '"')], docs.schema))
+    with pytest.raises(Seen) as seen:
+        pii.learn(telling)
+    assert different > 22_000 and seen.value.args[0] > 0.7 * different
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], plain.SCHEMA)
     assert bpe.decode(bpe.encode(none, RANKS, PATTERN), RANKS, PATTERN).count() == 0

@@ -285,21 +285,54 @@ def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list
             names = ["h", "around", "left", "words", "low", "high", "part"]
             yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=names)
 
-    def masks_of(rows: list[dict]) -> list[int]:
-        return deep_nodes([(r["left"], r["words"]) for r in rows], width, rows[0]["low"], rows[0]["high"])
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A mask for every row of a part; none where the part is too large for a tree and is to be split again.
+
+        Rows of a part lie together. No more than a group of them is held: once a part has more, its rows pass on as they come.
+        """
+        held: list[dict] = []
+        now, large = None, False
+
+        def out(rows: list[dict], masks: list) -> pa.RecordBatch:
+            again = [mask is None for mask in masks]
+            columns = [pa.array([r[f.name] if g or f.name in ("h", "around") else None for r, g in zip(rows, again)], f.type) for f in fields]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(masks, pa.int64())], names=[*(f.name for f in fields), "mask"])
+
+        def of_large(rows: list[dict]) -> pa.RecordBatch:
+            # All words of a window agree: a node whose leaves need no sorting.
+            return out(rows, [1 << r["low"] if r["low"] == r["high"] else None for r in rows])
+
+        def of_tree(rows: list[dict]) -> pa.RecordBatch:
+            masks = deep_nodes([(r["left"], r["words"]) for r in rows], width, rows[0]["low"], rows[0]["high"])
+            marked = [(r, mask) for r, mask in zip(rows, masks) if mask]
+            return out([r for r, _ in marked], [mask for _, mask in marked])
+
+        for batch in slices(batches):
+            for row in batch.to_pylist():
+                if row["part"] != now:
+                    if held:
+                        yield of_large(held) if large else of_tree(held)
+                    held, now, large = [], row["part"], False
+                held.append(row)
+                large = large or len(held) > max(group, 1)
+            if large and held:
+                yield of_large(held)
+                held = []
+        if held:
+            yield of_large(held) if large else of_tree(held)
 
     schema = "h long, around long, left int, words binary, low int, high int, part binary"
+    kept = {"h": pa.int64(), "around": pa.int64(), "left": pa.int32(), "words": pa.binary(), "low": pa.int32(), "high": pa.int32()}
+    fields = [pa.field(n, k) for n, k in kept.items()]
+    judged_schema = "h long, around long, left int, words binary, low int, high int, mask long"
     rest, span, found = around.withColumns({"low": F.lit(0), "high": F.lit(width - prefix)}), width - prefix + 1, []
     while span > 1:
-        rest, span = stage_table(rest.mapInArrow(split, schema), "halves"), -(-span // 2)
+        parts = rest.mapInArrow(split, schema).repartition("part").sortWithinPartitions("part")
+        judged, span = stage_table(parts.mapInArrow(judge, judged_schema), "halves"), -(-span // 2)
+        found.append(judged.where("mask IS NOT NULL").select("h", "around", "mask"))
+        rest = judged.where("mask IS NULL").drop("mask")
         if rest.isEmpty():
             break
-        large = stage_table(rest.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > max(group, 1)).select("part"), "large-parts")
-        found.append(_grouped(rest.join(large, "part", "left_anti"), "part", masks_of))
-        rest = rest.join(large, "part", "left_semi")
-        # All words of a window agree: a node whose leaves need no sorting.
-        found.append(rest.where("low = high").select("h", "around", F.expr("shiftleft(1L, low)").alias("mask")))
-        rest = rest.where("low < high")
     return found
 
 
