@@ -197,3 +197,22 @@ def test_forecasts_join_the_narrow_rows(spark):
     rows = {r["prediction_date"]: r for r in made.collect()}
     assert [(rows[d]["predicted_return"], rows[d]["fiscal_period_end"]) for d in days] == [(2.0, 1), (None, None)]
     assert [rows[d]["finbert_positive_count"] for d in days] == [1, None] and all(rows[d]["is_net_income"] == 5.0 for d in days)
+
+
+def test_named_columns_are_those_of_the_whole_feature_set(spark):
+    bars = spark.createDataFrame(
+        [("A", D(2025, 2, d), 1.0 * d, 9.0, 0.5, 2.0, 5.0, 1.0, 1.5) for d in (1, 2, 4)] * 2 + [("B", D(2025, 2, 2), 1.0, 2.0, 1.0, 2.0, 5.0, 1.0, 1.5)],
+        "symbol string, bar_date date, open double, high double, low double, close double, volume double, trade_count double, vwap double",
+    )
+    # Two statements of one release and period: the one whose first differing column is greater counts, whatever is asked for.
+    rows = [("A", D(2024, 12, 31), {"Total Revenue": 5.0, "Net Income": 1.0}), ("A", D(2024, 12, 31), {"Total Revenue": 4.0, "Net Income": 2.0})]
+    vintages = spark.createDataFrame([("GDP", "x", D(2025, 1, 1), D(2025, 1, 31), None, 7.0)], s.SCHEMAS["alfred_economic_data"])
+    article = "news_article_id long, symbol string, news_date date, sentiment string, c double"
+    scored = {p: (spark.createDataFrame([(1, "A", D(2025, 2, 1), "positive", 0.5)], article), "c") for p in s.SENTIMENT_PREFIXES}
+    tables = [bars, income(spark, rows), empty(spark, "balance_sheet"), empty(spark, "cashflow"), earnings(spark, [("A", D(2025, 2, 1), 1.0, 1.0, 0.1)])]
+    whole = feature_set.point_in_time_features(*tables, vintages, scored)
+    assert whole.count() == 4
+    for names in (["symbol", "is_net_income"], ["prediction_date", "econ_gdp", "finbert_total_articles"], ["sd_open", "is_net_margin", "split"], ["symbol"]):
+        made = feature_set.point_in_time_features(*tables, vintages, scored, columns=names)
+        assert sorted(made.columns) == sorted(names)
+        assert sorted(map(str, made.select(names).collect())) == sorted(map(str, whole.select(names).collect()))
