@@ -237,14 +237,17 @@ def attribution_summary(
     rank (ties by name), and in the high against the near-zero predictions of the train rows."""
     train = F.coalesce(F.col(s.SPLIT) == "train", F.lit(False))
     high = F.coalesce(F.abs(prediction) >= threshold, F.lit(False))
-    parts = {"importance": F.lit(True), "high_sum": train & high, "low_sum": train & ~high}
-    sums = attributions.select(
-        *[F.abs(f"shap_{c}").alias(f"_{i}") for i, c in enumerate(features)], *[p.alias(f"_is_{n}") for n, p in parts.items()]
-    ).agg(
+    parts = {"importance": F.lit(True), "high_sum": F.col("_part") == "high", "low_sum": F.col("_part") == "low"}
+    part = F.when(train & high, "high").when(train, "low").otherwise("test")
+    # One sum per feature and group over the rows; the three figures come from the three groups.
+    groups = attributions.groupBy(part.alias("_part")).agg(
+        *[F.sum(F.abs(f"shap_{c}")).alias(f"_{i}") for i, c in enumerate(features)]
+    )
+    sums = groups.agg(
         *[
-            F.coalesce(F.sum(F.when(F.col(f"_is_{n}"), F.col(f"_{i}"))), F.lit(0.0)).alias(f"_{n}{i}")
+            F.coalesce(F.sum(F.when(p, F.col(f"_{i}"))), F.lit(0.0)).alias(f"_{n}{i}")
             for i in range(len(features))
-            for n in parts
+            for n, p in parts.items()
         ]
     )
     rows = {c: [F.col(f"_{n}{i}") for n in parts] for i, c in enumerate(features)}
