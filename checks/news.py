@@ -243,10 +243,12 @@ def chat_reply_label(spark, sf_dir):
     ).otherwise("no view")
     raw = F.concat(F.lit("<s>[INST] echo\n of the prompt [/INST]  "), F.col("text"), F.lit("\n"), verdict)
     answer = tx.chat_answer(raw)
+    # The verdict has no line end, so it is the last line; looking for it by pattern would try every line of the text.
+    verdict_line = F.substring_index(answer, "\n", -1)
     return turns.select(
         "conv_id",
         "turn",
         "role",
-        F.regexp_replace(answer, r"\n[^\n]*$", "").alias("analysis"),
-        tx.pattern_label(F.regexp_extract(answer, r"\n([^\n]*)$", 1)).alias("prediction"),
+        F.left(answer, F.length(answer) - F.length(verdict_line) - 1).alias("analysis"),
+        tx.pattern_label(verdict_line).alias("prediction"),
     )
