@@ -148,6 +148,21 @@ def test_large_groups_are_split_without_joins(spark):
     assert {(r["around"], r["m"]) for r in marked.groupBy("around").agg(F.bit_or("mask").alias("m")).collect()} == {(i, 7) for i in range(8)}
 
 
+def test_large_groups_settle_shared_ranges_at_once(spark):
+    shared = [f"s{k}" for k in range(60)]
+    rows = [(1, i, 27, " ".join([f"x{i}", *shared, f"y{i}"]).encode()) for i in range(12)]
+    rows += [(1, 12 + i, 20, " ".join([*shared[6:], f"z{i}"]).encode()) for i in range(3)]  # texts that begin in the passage
+    found = repeats._split_trees(spark.createDataFrame(rows, "h long, around long, left int, words binary"), 35, 8, 2)
+    marked = [(r["around"], r["mask"]) for part in found for r in part.collect()]
+    masks = dict.fromkeys(range(15), 0)
+    for around, mask in marked:
+        masks[around] |= mask
+    assert [masks[i] for i in range(15)] == repeats.deep_nodes([r[2:] for r in rows], 35, 0, 27)
+    assert masks[0] == (1 << 27) - 2 and masks[12] == (1 << 21) - 2
+    # Two rows a level for the ranges in which the passage begins or ends, not one for each of the 26 windows.
+    assert len(marked) <= 15 * 2 * 4
+
+
 def test_repeats_within_one_text(spark):
     text = " ".join(f"w{i % 50}" for i in range(200)) + " end"
     found = repeats.remove_repeats(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()

@@ -260,25 +260,32 @@ def _trees(around: DataFrame, width: int, prefix: int) -> DataFrame:
     return _grouped(around, "h", lambda group: deep_nodes([(r["left"], r["words"]) for r in group], width, 0, width - prefix))
 
 
-def halves(left: int, words: bytes, width: int, low: int, high: int) -> Iterator[tuple[int, int, bytes]]:
-    """(low, high, the words that all windows between them share) for both halves of a range of offsets, where a window begins."""
+def halves(left: int, words: bytes, width: int, low: int, high: int) -> Iterator[tuple[int, int, int, bytes, bytes]]:
+    """(low, high, words before the anchor, all words, the words that they share) of the windows in both halves of a range of
+    offsets, where a window begins."""
     parts = words.split(b" ")
     middle = (low + high) // 2
     for a, b in ((low, middle), (middle + 1, high)):
         if max(a, left + width - len(parts)) <= min(b, left):
-            yield a, b, b" ".join(parts[left - a : left + width - b])
+            every, shared = parts[max(left - b, 0) : left - a + width], parts[left - a : left + width - b]
+            yield a, b, min(b, left), b" ".join(every), b" ".join(shared)
 
 
 def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list[DataFrame]:
-    """The same for prefixes with many surroundings: ranges of offsets are halved, which makes prefixes longer, until a part fits."""
+    """The same for prefixes with many surroundings: ranges of offsets are halved, which makes prefixes longer, until a part fits.
+
+    A row keeps no words but those of the windows in its range. Rows of a range with equal words are settled at once, whatever
+    the size of their part: all their windows repeat, and one row of them goes on for the others. So of a passage that very many
+    texts share only the ranges go on in which it begins or ends.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = ([], [], [], [], [], [], [])
             for row in batch.to_pylist():
-                for low, high, shared in halves(row["left"], row["words"], width, row["low"], row["high"]):
+                for low, high, left, words, shared in halves(row["left"], row["words"], width, row["low"], row["high"]):
                     name = b"%d %d %b" % (row["h"], low, shared)
-                    own = (row["h"], row["around"], row["left"], row["words"], low, high, xxhash.xxh3_128_digest(name))
+                    own = (row["h"], row["around"], left, words, low, high, xxhash.xxh3_128_digest(name))
                     for part, value in zip(out, own):
                         part.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
@@ -286,40 +293,49 @@ def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list
             yield pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(out, kinds)], names=names)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A mask for every row of a part; none where the part is too large for a tree and is to be split again.
+        """A mask for rows with repeats; words as well for those of a part that is too large for a tree and is to be split again.
 
-        Rows of a part lie together. No more than a group of them is held: once a part has more, its rows pass on as they come.
+        Rows of a part lie together, and in it those with equal words. No more than a group of different ones is held: once a
+        part has more, they pass on as they come.
         """
         held: list[dict] = []
         now, large = None, False
 
-        def out(rows: list[dict], masks: list) -> pa.RecordBatch:
-            again = [mask is None for mask in masks]
-            columns = [pa.array([r[f.name] if g or f.name in ("h", "around") else None for r, g in zip(rows, again)], f.type) for f in fields]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(masks, pa.int64())], names=[*(f.name for f in fields), "mask"])
+        def every(row: dict) -> int:
+            least = max(row["low"], row["left"] + width - row["words"].count(b" ") - 1)
+            return (2 << min(row["high"], row["left"])) - (1 << least)
 
-        def of_large(rows: list[dict]) -> pa.RecordBatch:
-            # All words of a window agree: a node whose leaves need no sorting.
-            return out(rows, [1 << r["low"] if r["low"] == r["high"] else None for r in rows])
+        def out(rows: list[tuple[dict, int, bool]]) -> pa.RecordBatch:
+            columns = [pa.array([r[f.name] if g or f.name in ("h", "around") else None for r, _, g in rows], f.type) for f in fields]
+            masks = pa.array([mask or None for _, mask, _ in rows], pa.int64())
+            return pa.RecordBatch.from_arrays([*columns, masks], names=[*(f.name for f in fields), "mask"])
 
-        def of_tree(rows: list[dict]) -> pa.RecordBatch:
-            masks = deep_nodes([(r["left"], r["words"]) for r in rows], width, rows[0]["low"], rows[0]["high"])
-            marked = [(r, mask) for r, mask in zip(rows, masks) if mask]
-            return out([r for r, _ in marked], [mask for _, mask in marked])
+        def of_held() -> list[tuple[dict, int, bool]]:
+            if large:
+                return [(r, r["mask"], True) for r in held]
+            masks = deep_nodes([(r["left"], r["words"]) for r in held], width, held[0]["low"], held[0]["high"]) if len(held) > 1 else [0]
+            return [(r, r["mask"] | mask, False) for r, mask in zip(held, masks) if r["mask"] | mask]
 
         for batch in slices(batches):
+            done = []
             for row in batch.to_pylist():
                 if row["part"] != now:
                     if held:
-                        yield of_large(held) if large else of_tree(held)
+                        done += of_held()
                     held, now, large = [], row["part"], False
-                held.append(row)
+                elif (row["left"], row["words"]) == (held[-1]["left"], held[-1]["words"]):
+                    held[-1]["mask"] = every(row)
+                    done.append((row, every(row), False))
+                    continue
+                if large:  # the last one is held while equal ones may follow
+                    done += of_held()
+                    held = []
+                held.append(row | {"mask": 0})
                 large = large or len(held) > max(group, 1)
-            if large and held:
-                yield of_large(held)
-                held = []
+            if done:
+                yield out(done)
         if held:
-            yield of_large(held) if large else of_tree(held)
+            yield out(of_held())
 
     schema = "h long, around long, left int, words binary, low int, high int, part binary"
     kept = {"h": pa.int64(), "around": pa.int64(), "left": pa.int32(), "words": pa.binary(), "low": pa.int32(), "high": pa.int32()}
@@ -327,10 +343,10 @@ def _split_trees(around: DataFrame, width: int, prefix: int, group: int) -> list
     judged_schema = "h long, around long, left int, words binary, low int, high int, mask long"
     rest, span, found = around.withColumns({"low": F.lit(0), "high": F.lit(width - prefix)}), width - prefix + 1, []
     while span > 1:
-        parts = rest.mapInArrow(split, schema).repartition("part").sortWithinPartitions("part")
+        parts = rest.mapInArrow(split, schema).repartition("part").sortWithinPartitions("part", "left", "words")
         judged, span = stage_table(parts.mapInArrow(judge, judged_schema), "halves"), -(-span // 2)
         found.append(judged.where("mask IS NOT NULL").select("h", "around", "mask"))
-        rest = judged.where("mask IS NULL").drop("mask")
+        rest = judged.where("words IS NOT NULL").drop("mask")
         if rest.isEmpty():
             break
     return found
