@@ -87,3 +87,15 @@ def test_other_models_return_their_values(spark, monkeypatch):
         made = query(name)(spark, SF_DIR)
         found = made.agg(*[F.count(c).alias(c) for c in columns], F.count("*").alias("rows"), F.count_distinct(columns[0]).alias("several")).first()
         assert all(found[c] == found["rows"] > 0 for c in columns) and found["several"] > 1, name
+
+
+def test_texts_are_read_once(spark):
+    rows = [(i, f"{'up rises gains' if i % 2 else 'down falls losses'} Word{i % 7}", i % 2, "train" if i % 5 else "test") for i in range(40)]
+    rows += [(40, None, 1, "train"), (41, "up", None, "test")]
+    made = m.text_classifier(spark.createDataFrame(rows, "id int, body string, label int, split string"), "body", "label")
+    # The fit and the prediction work on counts: without the text column no text is read again.
+    assert "body" not in made.drop("body")._jdf.queryExecution().executedPlan().toString()
+    assert made.columns == ["id", "body", "label", "split", "prediction", "confidence"]
+    found = made.collect()
+    assert {(r["id"], r["body"], r["label"]) for r in found} == {r[:3] for r in rows[:40]}
+    assert all(r["prediction"] == r["label"] and r["confidence"] > 0.5 for r in found)
