@@ -182,7 +182,28 @@ def indicators(
     ema_<n>``. Only what they need is computed. Numbered bars, and exponential means if any are asked for, are written
     once and read by the passes that follow.
     """
-    periods, longest = _needs(features)
+    keys = list(by)
+    rows = with_means(bars, keys, on, features, block_days, chunk_rows, macd_spans)
+    rows = series.spread_chunks(rows, look_back(features), 0, chunk_rows)
+    kept = with_features(rows, keys, features).filter(F.col(series.HOME) & (F.col(POS) >= warmup))
+    return kept.select(*bars.columns, *features)
+
+
+def look_back(features: Sequence[str]) -> int:
+    """Rows before a row that its features are made of, exponential means apart."""
+    return _needs(features)[1]
+
+
+def with_means(
+    bars: DataFrame,
+    by: Sequence[str],
+    on: str,
+    features: Sequence[str],
+    block_days: int = BLOCK_DAYS,
+    chunk_rows: int = CHUNK_ROWS,
+    macd_spans: tuple[int, int, int] = s.MACD_SPANS,
+) -> DataFrame:
+    """Numbered bars with what the features need from all rows before: exponential means, ``_line`` and ``_signal``."""
     keys, close = list(by), F.col("close")
     fast, slow, signal = macd_spans
     with_macd = any(f.startswith("macd") for f in features)
@@ -197,22 +218,25 @@ def indicators(
         line = F.col(f"_ema_{fast}") - F.col(f"_ema_{slow}")
         rows = stage_table(rows.withColumn("_line", line), "bars-with-means")
         rows = series.with_ema(rows, keys, F.col("_line"), {signal: "_signal"}, chunk_rows)
-    window = series.chunk_window(keys)
-    rows = series.spread_chunks(rows, longest, 0, chunk_rows)
+    return rows
+
+
+def with_features(rows: DataFrame, by: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Adds the features to rows of :func:`with_means` that were sent to their chunks; right where the look-back is there."""
+    periods, close = _needs(features)[0], F.col("close")
+    window = series.chunk_window(by)
     rows = rows.withColumns({"_change": close - shift("close", 1, window), "_spread": (F.col("high") - F.col("low")) / close})
     # Further levels over the same partitioning and order: no further shuffle.
     rows = rows.withColumns(_piece_columns(window, periods) or {"_none": F.lit(0)})
     made = rolling_columns(window, features)
-    made |= {f"ema_{n}": F.col(f"_ema_{n}") / close - 1 for n in spans if f"ema_{n}" in features}
-    if with_macd:
+    made |= {f: F.col(f"_ema_{n}") / close - 1 for f in features for family, n in [_family(f)] if family == "ema"}
+    if any(f.startswith("macd") for f in features):
         made |= {
             "macd": F.col("_line") / close,
             "macd_signal": F.col("_signal") / close,
             "macd_hist": (F.col("_line") - F.col("_signal")) / close,
         }
-    rows = rows.withColumns(made)
-    kept = rows.filter(F.col(series.HOME) & (F.col(POS) >= warmup))
-    return kept.select(*bars.columns, *features)
+    return rows.withColumns(made)
 
 
 def indicator_table(
@@ -230,9 +254,14 @@ def indicator_table(
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Drop rows with any null, or NaN in a floating column."""
-    complete = F.lit(True)
-    for field in df.schema.fields:
-        complete = complete & F.col(field.name).isNotNull()
+    return df.filter(complete(df, df.columns))
+
+
+def complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether none of the columns is null, or NaN if it is a floating one."""
+    whole = F.lit(True)
+    for field in (df.schema[c] for c in columns):
+        whole = whole & F.col(field.name).isNotNull()
         if field.dataType.typeName() in ("double", "float"):
-            complete = complete & ~F.isnan(field.name)
-    return df.filter(complete)
+            whole = whole & ~F.isnan(field.name)
+    return whole

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas as s
 from tidemark.functions.market import sentiment_hit, three_way_direction, two_way_direction
 from tidemark.functions.text import SENTIMENT_TO_DIRECTION
-from tidemark.operators import diagnosis, evaluation, indicators, modeling, sequences
+from tidemark.operators import diagnosis, evaluation, modeling
+from tidemark.operators.indicator_sequences import indicator_sequences
 from tidemark.session import stage_table
 
 _MOVE = s.TARGET
@@ -91,8 +92,7 @@ def forecast_dataset(
 
     By default the scaling range covers all rows of a symbol; with ``fit_on_train`` only bars before the cut-off.
     """
-    ready = stage_table(indicators.indicator_table(bars, on=on), "indicators")
-    return sequences.training_sequences(ready, list(features), cutoff, on=on, fit_on_train=fit_on_train)
+    return indicator_sequences(bars, list(features), cutoff, on=on, fit_on_train=fit_on_train)
 
 
 def forecast_tables(predictions: DataFrame) -> dict[str, DataFrame]:
